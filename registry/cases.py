@@ -159,7 +159,9 @@ def case(name: str, needs: tuple[str, ...] = (), sql: str | None = None, ctes: d
         text = None
         if sql is not None:
             extra = STEPS | (ctes or {})
-            text = with_clause([*needs, *(ctes or {})], extra) + sql if needs or ctes else sql
+            text = with_clause([*needs, *(ctes or {})], extra) + sql
+            if any("UNION ALL" in cte for cte in (ctes or {}).values()):
+                text = text.replace("WITH ", "WITH RECURSIVE ", 1)
         CASES[name] = Case(name, query, text)
         return query
 

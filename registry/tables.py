@@ -104,8 +104,9 @@ RETAIL = {
                CASE p_partkey % 8 WHEN 0 THEN 'CHAC' || CAST(p_partkey AS STRING) || '--'
                     WHEN 1 THEN 'feac' || CAST(p_partkey AS STRING) || '--'
                     WHEN 2 THEN 'MAAC' || CAST(p_partkey AS STRING) || '--'
-                    ELSE 'MA' || CAST(p_partkey AS STRING) || '-M-RED' END AS sku
-        FROM part WHERE p_partkey % 8 < 4""",
+                    WHEN 3 THEN 'MA' || CAST(p_partkey AS STRING) || '-M-RED'
+                    WHEN 4 THEN 'SKU-' || CAST(p_partkey AS STRING) ELSE 'ZZ' || CAST(p_partkey AS STRING) END AS sku
+        FROM part""",
     "shop_products": """
         SELECT p_partkey AS product_id,
                CASE p_partkey % 8 WHEN 0 THEN 'CHAC' || CAST(p_partkey AS STRING) || '--'
@@ -152,13 +153,12 @@ RETAIL = {
                CASE WHEN l_orderkey % 41 = 3 THEN CAST(1.7 AS DOUBLE) WHEN l_orderkey % 4 = 1 THEN l_tax
                     ELSE NULL END AS total_discount_avg
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
-             JOIN part ON l_partkey = p_partkey
-        WHERE l_linenumber = 1""",
+             JOIN part ON l_partkey = p_partkey""",
     "users": """
         SELECT 'user' || CAST(s_suppkey AS STRING) AS username,
                CASE s_suppkey % 10 WHEN 0 THEN 'Store Manager' WHEN 1 THEN 'Director' WHEN 2 THEN 'IT Admin'
                     ELSE 'Sales Staff' END AS role, s_nationkey AS store_id
-        FROM supplier WHERE s_suppkey < 30""",
+        FROM supplier""",
     "perms": """
         SELECT CASE r_regionkey WHEN 0 THEN 'Director' WHEN 1 THEN 'Store Manager' WHEN 2 THEN 'Sales Staff'
                     ELSE 'IT Admin' END AS role,
@@ -171,14 +171,14 @@ def with_clause(names: tuple[str, ...] | list[str], extra: dict[str, str] | None
     """The WITH clause that defines the named tables and everything they mention."""
     texts = RETAIL | (extra or {})
     wanted: set[str] = set()
-    queue = list(names)
+    queue = [name for name in names if name in texts]
     while queue:
         name = queue.pop()
         if name not in wanted:
             wanted.add(name)
             queue += [other for other in texts if other != name and re.search(rf"\b{other}\b", texts[name])]
     parts = [f"{name} AS ({texts[name]})" for name in texts if name in wanted]
-    return "WITH " + ",\n".join(parts) + "\n"
+    return "WITH " + ",\n".join(parts) + "\n" if parts else ""
 
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -199,6 +199,9 @@ def product_stock(products: DataFrame, inventory: DataFrame) -> DataFrame:
         """One key per rule combination; null as soon as one of its parts is."""
         return F.concat(F.lit(" ".join(parts)), *[F.concat(F.lit("\u0001"), part) for part in parts.values()])
 
+    start = F.regexp_replace(F.nullif("sku", F.lit("")), "-+$", "")
+    # Only lengths that some product SKU has are worth a prefix.
+    lengths = products.agg(F.collect_set(F.length(start)).alias("value")).scalar()
     items = (
         inventory.select(
             text.sku_product_id(F.col("sku")).cast("string").alias("id"),
@@ -208,14 +211,10 @@ def product_stock(products: DataFrame, inventory: DataFrame) -> DataFrame:
         )
         .groupBy("id", "name", "sku")
         .agg(F.sum("quantity").alias("quantity"))
+        .withColumn("lengths", F.array_intersect(F.sequence(F.lit(0), F.length("sku")), lengths))
     )
     number, name, sku = F.col("id"), F.col("name"), F.col("sku")
-    start = F.regexp_replace(F.nullif("sku", F.lit("")), "-+$", "")
-    # Only lengths that some product SKU has are worth a prefix.
-    lengths = products.agg(F.collect_set(F.length(start)).alias("value")).scalar()
-    starts = F.transform(
-        F.array_intersect(F.sequence(F.lit(0), F.length(sku)), lengths), lambda n: F.substring(sku, F.lit(1), n)
-    )
+    starts = F.transform("lengths", lambda n: F.substring(sku, F.lit(1), n))
     keys = F.concat(
         F.array(key(id=number), key(name=name), key(id=number, name=name)),
         F.coalesce(

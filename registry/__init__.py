@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("features", "cleaning", "stocking")
+MODULES = ("features", "cleaning", "stocking", "modelling", "files")
 
 
 def load() -> dict:

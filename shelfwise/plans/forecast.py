@@ -82,7 +82,7 @@ def prepared_requests(
         requests = requests.withColumn("total_discount_avg", F.lit(None).cast("double"))
     good, bad = clean.validate(requests, clean.request_rules())
     good = good.withColumnRenamed("store_id", "store_raw").withColumns(
-        {"store_id": parse_store_id(F.col("store_raw")), "date": F.try_to_date("date", F.lit("yyyy-M-d"))}
+        {"store_id": parse_store_id(F.col("store_raw")), "date": F.try_to_date("date", "yyyy-M-d")}
     )
     found = lookup.apply_overrides(lookup.features_for(good, daily, products, stores))
     return lookup.validate_features(found), bad

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +34,13 @@ def train_demand(
     """Fit on the earlier part of ``data`` and measure on the later part; returns (model, metrics).
 
     ``fit_on`` tells which rows the dictionary is built from: 'all' or 'train'.
-    The prepared rows are staged, as every training iteration reads them again.
+    A day on which more came back than was sold counts as no demand, as the
+    Tweedie loss has no negative values. The prepared rows are staged and
+    kept with the executors, because every training iteration reads them again.
     """
     if fit_on not in ("all", "train"):
         raise ValueError("fit_on must be 'all' or 'train'")
+    data = data.withColumn("qty", F.greatest(F.col("qty"), F.lit(0.0)))
     data = stage(model.calendar_features(data), "training")
     early, late = model.time_split(data, ratio)
     encoder = model.fit_encoder(data if fit_on == "all" else early)
@@ -44,9 +48,12 @@ def train_demand(
     train = stage(model.encode(early, encoder).select("qty", *columns), "train")
     valid = stage(model.encode(late, encoder).select("qty", *columns), "valid")
     scaler = stage(model.fit_scaler(train, columns).coalesce(1), "scaler")
-    train = model.assemble(train, scaler, columns).select("qty", "features")
+    train = model.assemble(train, scaler, columns).select("qty", "features").persist(StorageLevel.MEMORY_AND_DISK)
     valid = model.assemble(valid, scaler, columns).select("qty", "features")
-    regression = model.train_regression(train, valid, kind, **options)
+    try:
+        regression = model.train_regression(train, valid, kind, **options)
+    finally:
+        train.unpersist()
     fitted = model.DemandModel(kind, encoder, scaler, columns, regression)
     predicted = regression.transform(valid).withColumn("prediction", F.greatest("prediction", F.lit(0.0)))
     return fitted, regression_metrics(predicted)

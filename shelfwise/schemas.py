@@ -9,58 +9,69 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+KINDS = {
+    "STRING": T.StringType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
+}
+
+
+def flat_schema(columns: str) -> T.StructType:
+    """A schema from 'name TYPE, name TYPE'; unlike Spark's parser it needs no running session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, KINDS[kind]) for name, kind in pairs])
 
 
 # Table layouts.
-TRANSACTIONS = _schema(
+TRANSACTIONS = flat_schema(
     "transaction_id STRING, store_id INT, customer_id STRING, employee_id STRING, product_id STRING, sku STRING, "
     "quantity INT, unit_price DOUBLE, currency STRING, discount_pct DOUBLE, line_total DOUBLE, "
     "payment_method STRING, transaction_date TIMESTAMP"
 )
-PRODUCTS = _schema(
+PRODUCTS = flat_schema(
     "product_id STRING, sku STRING, name_en STRING, name_pt STRING, description_en STRING, description_pt STRING, "
     "category STRING, sub_category STRING, color STRING, size STRING, price DOUBLE, cost DOUBLE, currency STRING, "
     "stock INT, image_url STRING"
 )
-STORES = _schema(
+STORES = flat_schema(
     "store_id INT, name STRING, address STRING, city STRING, state STRING, country STRING, zip_code STRING, "
     "phone STRING, email STRING, latitude DOUBLE, longitude DOUBLE, store_area DOUBLE, num_employees INT, "
     "opening_date DATE"
 )
-CUSTOMERS = _schema(
+CUSTOMERS = flat_schema(
     "customer_id STRING, name STRING, email STRING, phone STRING, gender STRING, age INT, age_group STRING, "
     "birthday STRING, address STRING, city STRING, state STRING, country STRING, zip_code STRING, segment STRING"
 )
-EMPLOYEES = _schema(
+EMPLOYEES = flat_schema(
     "employee_id STRING, store_id INT, name STRING, email STRING, phone STRING, gender STRING, age INT, "
     "position STRING, department STRING, salary DOUBLE, hire_date DATE"
 )
-DISCOUNTS = _schema(
+DISCOUNTS = flat_schema(
     "discount_id STRING, product_id STRING, store_id INT, discount_pct DOUBLE, start_date DATE, end_date DATE, "
     "description STRING"
 )
-STOCK = _schema(
+STOCK = flat_schema(
     "store_id INT, sku STRING, product_id STRING, quantity BIGINT, min_quantity INT, max_quantity INT, "
     "last_restocked DATE, updated_at TIMESTAMP"
 )
-STOCK_IMPORTS = _schema(
+STOCK_IMPORTS = flat_schema(
     "store_id INT, sku STRING, product_id STRING, quantity_imported INT, import_date DATE, supplier STRING, "
     "notes STRING, created_at TIMESTAMP"
 )
-DEMAND_FORECASTS = _schema(
+DEMAND_FORECASTS = flat_schema(
     "store_id STRING, sku STRING, product_id STRING, forecast_year INT, forecast_week INT, "
     "predicted_quantity DOUBLE, model_version STRING, created_at TIMESTAMP"
 )
-AUDIT_LOGS = _schema(
+AUDIT_LOGS = flat_schema(
     "id BIGINT, timestamp TIMESTAMP, username STRING, role STRING, action STRING, details STRING, ip STRING"
 )
-FEED = _schema(
-    "store_id INT, store_name STRING, lat DOUBLE, lon DOUBLE, country STRING, date STRING, "
-    "products ARRAY<STRUCT<id: STRING, weekly_forecast: DOUBLE, weekly_sale: DOUBLE>>"
+FEED = flat_schema("store_id INT, store_name STRING, lat DOUBLE, lon DOUBLE, country STRING, date STRING").add(
+    "products", T.ArrayType(flat_schema("id STRING, weekly_forecast DOUBLE, weekly_sale DOUBLE"))
 )
-FINAL_DAILY = _schema(
+FINAL_DAILY = flat_schema(
     "store_id INT, sku STRING, date DATE, product_id INT, size STRING, color STRING, color_type STRING, "
     "category STRING, sub_category STRING, country STRING, city STRING, num_distinct_products BIGINT, "
     "num_distinct_skus BIGINT, avg_usd_price DOUBLE, total_discount_avg DOUBLE, total_lifespan DOUBLE, "
@@ -68,7 +79,7 @@ FINAL_DAILY = _schema(
     "s_selling_days_count DOUBLE, s_sales_velocity DOUBLE, s2_days_active DOUBLE, s2_selling_days_count DOUBLE, "
     "s2_sales_velocity DOUBLE, lag_1d DOUBLE, lag_7d DOUBLE, rolling_mean_7d DOUBLE, rolling_std_7d DOUBLE"
 )
-FINAL_DAILY_EXTRA = _schema(
+FINAL_DAILY_EXTRA = flat_schema(
     "lag_14d DOUBLE, lag_28d DOUBLE, rolling_mean_14d DOUBLE, rolling_mean_30d DOUBLE, "
     "target_encoding_store_sku DOUBLE"
 )

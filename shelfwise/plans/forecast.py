@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.calendar import week_key
 from shelfwise.functions.text import parse_store_id
 from shelfwise.operators import clean, lookup, model
+from shelfwise.session import stage
 from shelfwise.sources.tables import latest_snapshot
 
 # Version labels of the two jobs.
@@ -76,7 +77,9 @@ def prepared_requests(
     """Requests with features, overrides and status; and those whose own fields are invalid.
 
     ``requests`` holds store_id as text, sku, date as ISO text and optionally
-    feature overrides such as total_discount_avg.
+    feature overrides such as total_discount_avg. The result is staged: the scored
+    and the failed requests are both taken from it, and scoring starts from plain
+    columns.
     """
     if "total_discount_avg" not in requests.columns:
         requests = requests.withColumn("total_discount_avg", F.lit(None).cast("double"))
@@ -85,7 +88,7 @@ def prepared_requests(
         {"store_id": parse_store_id(F.col("store_raw")), "date": F.try_to_date("date", "yyyy-M-d")}
     )
     found = lookup.apply_overrides(lookup.features_for(good, daily, products, stores))
-    return lookup.validate_features(found), bad
+    return stage(lookup.validate_features(found), "requests"), bad
 
 
 def score_batch(

@@ -40,12 +40,18 @@ def priced_lines(tx: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def describe(daily: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
-    """Attach product and store attributes to daily rows; unknown texts become 'Unknown'."""
-    product = products.select("product_id", *ATTRIBUTES)
+def describe(daily: DataFrame, products: DataFrame | None, stores: DataFrame) -> DataFrame:
+    """Attach product and store attributes to daily rows; unknown texts become 'Unknown'.
+
+    Leave out ``products`` when the product attributes are there already. Stores
+    come in staged (see ``session.stage``) in large jobs: a store may own a third
+    of all rows, and only a table of known size is broadcast instead of shuffled.
+    """
+    out = daily
+    if products is not None:
+        out = out.join(products.select("product_id", *ATTRIBUTES), "product_id", "left")
     store = stores.select("store_id", *PLACES, "num_distinct_products", "num_distinct_skus")
-    out = daily.join(product, "product_id", "left").join(store, "store_id", "left")
-    return clean.fill_text(out, [*ATTRIBUTES, *PLACES], "Unknown")
+    return clean.fill_text(out.join(store, "store_id", "left"), [*ATTRIBUTES, *PLACES], "Unknown")
 
 
 def sku_catalog(stock: DataFrame, daily: DataFrame, store: int | None = None) -> DataFrame:

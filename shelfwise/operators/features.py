@@ -113,16 +113,21 @@ def product_coverage(daily: DataFrame) -> DataFrame:
     return pairs.groupBy("product_id").agg(F.count(F.lit(1)).cast("double").alias("product_store_coverage"))
 
 
-def coverage_lifespan(df: DataFrame, daily: DataFrame | None = None) -> DataFrame:
+def coverage_lifespan(
+    df: DataFrame, daily: DataFrame | None = None, coverage: DataFrame | None = None
+) -> DataFrame:
     """Store coverage of SKU and product, and days since the first sale anywhere and in the store.
 
     ``daily`` is the table the figures are taken from, ``df`` itself by default;
     pass the staged daily table when ``df`` already carries other features.
+    ``coverage`` may be a staged ``product_coverage`` with further product columns,
+    which are then attached by the same join.
     """
     daily = df if daily is None else daily
+    coverage = product_coverage(daily) if coverage is None else coverage
     return (
         df.join(series_table(daily), list(SERIES), "left")
-        .join(product_coverage(daily), "product_id", "left")
+        .join(coverage, "product_id", "left")
         .withColumns(
             {
                 "total_lifespan": _or_zero(F.datediff("date", "first_global_date")),

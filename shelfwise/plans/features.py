@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -28,23 +29,34 @@ def daily_sales(tables: Mapping[str, DataFrame]) -> DataFrame:
 def flagship_features(tables: Mapping[str, DataFrame], extended: bool = False, staging: Stage = stage) -> DataFrame:
     """The feature table.
 
-    Shuffles of transaction rows: none before the first aggregation when Spark
-    broadcasts the products (their cleaned table is staged, so its true size is
-    known), and the aggregation itself combines on the map side. The daily table
-    is staged because two branches need it: the per-series figures and the
-    windows. The windows, the series join and the series table share the
-    partitioning on (store, SKU).
+    Transaction rows are not shuffled before the first aggregation when the
+    products are small enough to be broadcast, and that aggregation combines on
+    the map side, so a best-seller is reduced where it is read. The daily table is
+    staged because two branches need it: the per-series figures and the windows,
+    which share the partitioning on (store, SKU) with the join between them.
+    Products and stores are staged too: Spark then sees their true size, and joins
+    the wide table with them without shuffling it on a skewed id if they are small.
     """
     tx = clean.clean_transactions(tables["transactions"])
     products = staging(
         clean.clean_products(tables["products"]).select("product_id", "sku_prod", "usd_price", *aggregate.ATTRIBUTES),
         "products",
     )
-    stores = clean.clean_stores(tables["stores"], tx)
-    daily = staging(aggregate.daily_totals(dims.priced_lines(tx, products)), "daily")
+    store_rows = clean.clean_stores(tables["stores"], tx).select(
+        "store_id", *aggregate.PLACES, "num_distinct_products", "num_distinct_skus"
+    )
+    # The two scans of the transactions do not depend on each other, so they share the cluster.
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        stores_job = pool.submit(staging, store_rows, "stores")
+        daily = staging(aggregate.daily_totals(dims.priced_lines(tx, products)), "daily")
+        stores = stores_job.result()
+    # One join on the product id brings both its coverage and its attributes.
+    sold = features.product_coverage(daily).join(
+        products.select("product_id", *aggregate.ATTRIBUTES), "product_id", "left"
+    )
     out = features.window_features(daily, extended)
-    out = features.coverage_lifespan(out, daily)
-    return features.project_features(dims.describe(out, products, stores), extended)
+    out = features.coverage_lifespan(out, daily, staging(sold, "sold"))
+    return features.project_features(dims.describe(out, None, stores), extended)
 
 
 def run_features(

@@ -9,6 +9,7 @@ from registry.tables import tables
 from shelfwise.functions import calendar
 from shelfwise.operators import aggregate, clean, dims, features, model, serve
 from shelfwise.plans import features as jobs
+from shelfwise.session import stage
 from shelfwise.sources.tables import active_pairs, latest_snapshot
 
 BASE = ("transactions", "products", "stores")
@@ -149,7 +150,7 @@ def join_dims(spark, sf):
 def resolve_sku(spark, sf):
     t = tables(spark, sf, "transactions", "products")
     lines = dims.priced_lines(clean.clean_transactions(t["transactions"]), clean.clean_products(t["products"]))
-    return lines.groupBy("sku").agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity"))
+    return lines.groupBy("sku").agg(F.sum("n").alias("n"), F.sum("quantity").alias("quantity"))
 
 
 DAILY_COLUMNS = """store_id, sku, date, qty, avg_usd_price, total_discount_avg, product_id, color, size, color_type,
@@ -160,9 +161,9 @@ DAILY_COLUMNS = """store_id, sku, date, qty, avg_usd_price, total_discount_avg,
 def daily_sales(spark, sf):
     t = tables(spark, sf, *BASE)
     tx = clean.clean_transactions(t["transactions"])
-    products = clean.clean_products(t["products"])
+    products = jobs.product_table(t["products"])
     totals = aggregate.daily_totals(dims.priced_lines(tx, products))
-    return dims.describe(totals, products, clean.clean_stores(t["stores"], tx))
+    return dims.describe(totals, products, stage(clean.clean_stores(t["stores"], tx), "stores"))
 
 
 @case("store_variety", ("variety",), "SELECT * FROM variety")

@@ -26,18 +26,18 @@ def store_variety(tx: DataFrame) -> DataFrame:
 def daily_totals(lines: DataFrame) -> DataFrame:
     """Sales per (store, SKU, day): quantity, mean dollar price, mean discount and the smallest product id.
 
+    ``lines`` come from ``dims.priced_lines``, each standing for ``n`` transaction lines.
     Everything is a sum or a minimum of numbers, so Spark aggregates in hash maps
     before the shuffle and a best-selling SKU arrives as one row per map task.
     """
     cents = money.whole_units(F.coalesce("usd_price", F.lit(0.0)), money.CENTS)
-    shares = money.whole_units(F.coalesce("discount_pct", F.lit(0.0)), money.SHARE_UNITS)
-    rows = F.count(F.lit(1))
+    rows = F.sum("n")
     return (
         lines.groupBy("store_id", "sku", F.col("tx_date").alias("date"))
         .agg(
             F.sum("quantity").cast("double").alias("qty"),
-            money.rounded_mean(F.sum(cents), rows, money.CENTS, 2).alias("avg_usd_price"),
-            money.rounded_mean(F.sum(shares), rows, money.SHARE_UNITS, 4).alias("total_discount_avg"),
+            money.rounded_mean(F.sum(cents * F.col("n")), rows, money.CENTS, 2).alias("avg_usd_price"),
+            money.rounded_mean(F.sum("shares"), rows, money.SHARE_UNITS, 4).alias("total_discount_avg"),
             F.min("product_id").alias("product_id"),
         )
         .where(F.col("qty") > 0)

@@ -51,9 +51,9 @@ def ranked(df: DataFrame, order: Sequence[str], position: str, within: Sequence[
     starts = sizes.select(
         *within, "_task", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
-    # One row per task (times the values of ``within`` in it): small by construction.
+    # The join key holds the task, so even one huge group is spread over its tasks.
     return (
-        staged.join(F.broadcast(starts), [*within, "_task"])
+        staged.join(starts, [*within, "_task"])
         .withColumn(position, F.col("_start") + F.col("_place") - F.col("_first"))
         .select(*df.columns, position)
     )
@@ -65,7 +65,7 @@ def accept_in_order(
     order: Sequence[str],
     quantity: str,
     available: str,
-    salt_buckets: int = 64,
+    salt_buckets: int = 4096,
 ) -> DataFrame:
     """Serve lines in order while supply lasts; a line that asks for too much is refused, later ones may still fit.
 
@@ -78,8 +78,8 @@ def accept_in_order(
     refused too. Hence of the lines asking for q only the first available / q
     can be served. That filter is exact and leaves at most about
     available * ln(available) lines per key, however many lines the key has. It
-    runs in two rounds, the first within random salts, so one hot key is spread
-    over many tasks. Only the survivors are walked in order, streaming, with the
+    runs in two rounds, the first within salts (hashes of the order columns), so one
+    hot key is spread over many tasks; a key with few lines is not affected. Only the survivors are walked in order, streaming, with the
     remaining supply as the only state.
     """
     columns = lines.columns

@@ -20,10 +20,16 @@ def lazily(df: DataFrame, label: str) -> DataFrame:
     return df
 
 
-def daily_sales(tables: Mapping[str, DataFrame]) -> DataFrame:
+def product_table(products: DataFrame, staging: Stage = stage) -> DataFrame:
+    """The cleaned products as the feature job needs them, staged so that their size is known."""
+    cleaned = clean.clean_products(products)
+    return staging(cleaned.select("product_id", "sku_prod", "usd_price", *aggregate.ATTRIBUTES), "products")
+
+
+def daily_sales(tables: Mapping[str, DataFrame], staging: Stage = stage) -> DataFrame:
     """Sales per (store, SKU, day), without attributes."""
     tx = clean.clean_transactions(tables["transactions"])
-    return aggregate.daily_totals(dims.priced_lines(tx, clean.clean_products(tables["products"])))
+    return aggregate.daily_totals(dims.priced_lines(tx, product_table(tables["products"], staging)))
 
 
 def flagship_features(tables: Mapping[str, DataFrame], extended: bool = False, staging: Stage = stage) -> DataFrame:
@@ -38,10 +44,7 @@ def flagship_features(tables: Mapping[str, DataFrame], extended: bool = False, s
     the wide table with them without shuffling it on a skewed id if they are small.
     """
     tx = clean.clean_transactions(tables["transactions"])
-    products = staging(
-        clean.clean_products(tables["products"]).select("product_id", "sku_prod", "usd_price", *aggregate.ATTRIBUTES),
-        "products",
-    )
+    products = product_table(tables["products"], staging)
     store_rows = clean.clean_stores(tables["stores"], tx).select(
         "store_id", *aggregate.PLACES, "num_distinct_products", "num_distinct_skus"
     )

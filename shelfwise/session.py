@@ -12,6 +12,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streaming state lives on local disk next to the executor, not on its heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -58,6 +62,22 @@ def stage(df: DataFrame, label: str = "frame") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def can_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own estimate for ``df`` is below the session's broadcast threshold.
+
+    Reliable for plain scans, such as staged tables; anything unknown counts as large.
+    """
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:
+        return False
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower()
+    factors = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    number = limit.rstrip("b")
+    factor = factors.get(number[-1:], 1)
+    return size <= int(number.rstrip("kmg")) * factor
+
+
 def one_value(df: DataFrame, value: Column) -> Column:
     """An aggregate of ``df`` as a scalar subquery, usable in any other frame's expressions."""
     return df.agg(value.alias("value")).scalar()

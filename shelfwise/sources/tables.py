@@ -95,11 +95,9 @@ def write_features(df: DataFrame, sinks: Sequence[Mapping[str, Any]], keep: bool
     try:
         for sink in sinks:
             if "path" in sink:
-                # Salting by series spreads one heavy date over several files and tasks.
-                salt = F.pmod(F.xxhash64("store_id", "sku"), F.lit(sink.get("files_per_date", 1)))
+                # A rebalance puts each date into one task, merges small ones and splits a heavy date.
                 (
-                    df.repartition("date", salt)
-                    .sortWithinPartitions("store_id", "sku")
+                    df.hint("rebalance", F.col("date"))
                     .write.mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic")
                     .partitionBy("date")

@@ -194,6 +194,28 @@ def validate_imports(spark, sf):
     return out.select("import_id", "quantity_imported", "ok")
 
 
+@case(
+    "validate_discounts",
+    ("discounts",),
+    "SELECT discount_id, discount_pct * 3 AS discount_pct, discount_pct * 3 BETWEEN 0 AND 1 AS ok FROM discounts",
+)
+def validate_discounts(spark, sf):
+    tripled = table(spark, sf, "discounts").select("discount_id", (F.col("discount_pct") * 3).alias("discount_pct"))
+    ok, bad = clean.validate(tripled, clean.discount_rules())
+    return ok.withColumn("ok", F.lit(True)).unionByName(bad.drop("reasons").withColumn("ok", F.lit(False)))
+
+
+@case(
+    "validate_stock",
+    ("stock",),
+    "SELECT store_id, sku, quantity - 100 AS quantity, quantity >= 100 AS ok FROM stock",
+)
+def validate_stock(spark, sf):
+    lowered = table(spark, sf, "stock").select("store_id", "sku", (F.col("quantity") - 100).alias("quantity"))
+    ok, bad = clean.validate(lowered, clean.stock_rules())
+    return ok.withColumn("ok", F.lit(True)).unionByName(bad.drop("reasons").withColumn("ok", F.lit(False)))
+
+
 @case(
     "discount_report",
     ("discounts",),
@@ -342,6 +364,19 @@ def search_products(spark, sf):
     return serve.search(products, ["name_en", "description_en"], "bl_e", literal=False)
 
 
+@case(
+    "search_inventory",
+    ("inventory", "skus", "shop_products"),
+    """SELECT i.store_id, i.sku, p.product_name FROM inventory i JOIN skus s ON i.sku = s.sku
+       JOIN shop_products p ON s.product_id = p.product_id
+       WHERE lower(i.sku) NOT LIKE '%string%' AND (contains(lower(i.sku), 'red') OR contains(lower(p.product_name), 'red')
+             OR contains(lower(p.category), 'red'))""",
+)
+def search_inventory(spark, sf):
+    found = serve.search(inventory_view(spark, sf), ["sku", "product_name", "category"], "RED")
+    return found.select("store_id", "sku", "product_name")
+
+
 @case(
     "paginate",
     ("inventory",),

@@ -568,11 +568,12 @@ for _keep in ("first", "last"):
         ("transactions",),
         f"""SELECT transaction_id, line_id, quantity, payment_method FROM transactions
             QUALIFY row_number() OVER (PARTITION BY transaction_id
-                                       ORDER BY line_id {"DESC" if _keep == "last" else ""}) = 1""",
+                                       ORDER BY line_id {"DESC" if _keep == "last" else ""},
+                                                quantity {"DESC" if _keep == "last" else ""}) = 1""",
     )
     def dedup(spark, sf, keep=_keep):
         tx = table(spark, sf, "transactions").select("transaction_id", "line_id", "quantity", "payment_method")
-        return rows.dedup(tx, ["transaction_id"], ["line_id"], keep)
+        return rows.dedup(tx, ["transaction_id"], ["line_id", "quantity"], keep)
 
 
 @case(

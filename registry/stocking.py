@@ -67,11 +67,11 @@ def _walk(lines: str, keys: str, order: str) -> dict[str, str]:
     return {
         "numbered": f"SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn FROM ({lines})",
         "walk": f"""
-            SELECT {keys}, rn, line_id, asked <= available AND asked > 0 AS accepted,
+            SELECT {keys}, rn, line_id, asked, asked <= available AND asked > 0 AS accepted,
                    CASE WHEN asked <= available AND asked > 0 THEN available - asked ELSE available END AS remaining
             FROM numbered WHERE rn = 1
             UNION ALL
-            SELECT {cols}, n.rn, n.line_id, n.asked <= w.remaining AND n.asked > 0,
+            SELECT {cols}, n.rn, n.line_id, n.asked, n.asked <= w.remaining AND n.asked > 0,
                    CASE WHEN n.asked <= w.remaining AND n.asked > 0 THEN w.remaining - n.asked ELSE w.remaining END
             FROM walk w JOIN numbered n ON {join} AND n.rn = w.rn + 1""",
     }
@@ -89,7 +89,7 @@ ORDERS = "store_id, trim(sku) AS sku, line_id, quantity, CAST(transaction_date A
             FROM (SELECT {ORDERS} FROM transactions WHERE sku IS NOT NULL) o
                  LEFT JOIN (SELECT * FROM stock WHERE quantity > 200) s USING (store_id, sku)""",
         "store_id, sku",
-        "day, line_id",
+        "day, line_id, asked",
     ),
 )
 def allocate_stock(spark, sf):
@@ -97,7 +97,7 @@ def allocate_stock(spark, sf):
     orders = t["transactions"].where(F.col("sku").isNotNull()).select(
         "store_id", F.trim("sku").alias("sku"), "line_id", "quantity", F.to_date("transaction_date").alias("day")
     )
-    out = allocation.allocate_stock(t["stock"].where(F.col("quantity") > 200), orders, ["day", "line_id"])
+    out = allocation.allocate_stock(t["stock"].where(F.col("quantity") > 200), orders, ["day", "line_id", "quantity"])
     return out.select("store_id", "sku", "line_id", "accepted", "left")
 
 
@@ -108,14 +108,14 @@ CART = """SELECT customer_id % 50 AS order_id, trim(sku) AS sku, line_id, quanti
 @case(
     "merge_order_lines",
     ("transactions", "stock"),
-    f"""SELECT w.order_id, w.sku, CAST(sum(c.asked) AS BIGINT) AS quantity, arg_max(c.price, c.line_id) AS price, count(*) AS n_lines
-        FROM walk w JOIN ({CART}) c USING (line_id) WHERE w.accepted GROUP BY 1, 2""",
+    f"""SELECT w.order_id, w.sku, CAST(sum(c.asked) AS BIGINT) AS quantity, arg_max(c.price, [c.line_id, c.asked]) AS price, count(*) AS n_lines
+        FROM walk w JOIN ({CART}) c USING (line_id, asked) WHERE w.accepted GROUP BY 1, 2""",
     _walk(
         f"""SELECT c.*, coalesce(s.available, 0) AS available
             FROM ({CART}) c LEFT JOIN (SELECT sku, CAST(sum(quantity) // 30 AS BIGINT) AS available FROM stock GROUP BY sku) s
             USING (sku)""",
         "order_id, sku",
-        "line_id",
+        "line_id, asked",
     ),
 )
 def merge_order_lines(spark, sf):
@@ -128,7 +128,7 @@ def merge_order_lines(spark, sf):
         F.col("unit_price").alias("price"),
     )
     limits = t["stock"].groupBy("sku").agg(F.floor(F.sum("quantity") / 30).alias("quantity"))
-    return allocation.merge_order_lines(lines, limits, ["line_id"])[0]
+    return allocation.merge_order_lines(lines, limits, ["line_id", "quantity"])[0]
 
 
 MOVED = "SELECT store_id, 'Brand#' || event_id % 30 AS sku, event_id, delta FROM moves"

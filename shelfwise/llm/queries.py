@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import toxicity
-from shelfwise.llm.common import crc_mod, table
+from shelfwise.llm import langid, tokencount, toxicity
+from shelfwise.llm.common import crc_mod, keyed, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +30,16 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.score(docs, toxicity.fit(rows))
     held = crc_mod(F.col("doc_id"), 5) == 0
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op7_language")
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    rows = keyed(docs, id="doc_id", text="text", lang="lang").where(crc_mod(F.col("id"), 4) != 2)
+    found = langid.predict(docs, langid.fit(rows))
+    return found.select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@register("op4_token_counts")
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))

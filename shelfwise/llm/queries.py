@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import langid, tokencount, toxicity
+from shelfwise.llm import langid, packing, tokencount, toxicity
 from shelfwise.llm.common import crc_mod, keyed, table
 
 QUERIES: dict = {}
@@ -43,3 +43,14 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
 @register("op4_token_counts")
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def pieces_of(docs: DataFrame) -> DataFrame:
+    """2048-token pieces of ``documents``, by the ranks file of the byte-level vocabulary; its one special string is token 50256."""
+    return packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256})
+
+
+@register("op3_packing")
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = pieces_of(table(spark, folder, "documents"))
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))

@@ -34,7 +34,7 @@ _LETTER = np.array([chr(i).isalnum() for i in range(1 << 16)])
 @dataclass(frozen=True)
 class Settings:
     toxic_rows: int = 1000  # labelled documents that training may read, by label
-    clean_rows: int = 3000
+    clean_rows: int = 2500
     chars: int = 6000  # characters of a training document, from a place its hash picks
     least: int = 5  # training documents a subword must occur in
     dim: int = 2
@@ -106,10 +106,13 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings = Settings())
     if not len(gram):
         return train([], labels, settings)
     n, dim = len(texts), settings.dim
-    used, gram = np.unique(gram, return_inverse=True)
-    by_gram = np.argsort(gram, kind="stable")
-    gram_starts = np.searchsorted(gram[by_gram], np.arange(len(used)))
+    count = np.bincount(gram, minlength=1 << BITS)
+    used = np.flatnonzero(count)
+    gram = (np.cumsum(count > 0, dtype=np.int32) - 1)[gram]
+    by_gram = np.argsort(gram, kind="stable").astype(np.int32)
+    gram_starts = np.concatenate(([0], np.cumsum(count[used])[:-1]))
     doc_of, value_of = doc[by_gram], value[by_gram][:, None]
+    del by_gram, count
     filled, doc_starts = np.unique(doc, return_index=True)
     embed, slow = np.zeros((len(used), dim), np.float32), np.zeros((len(used), dim), np.float32)
     soft = rng.normal(0, 1, (dim, 2)).astype(np.float32)
@@ -145,11 +148,11 @@ def _weights(texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray, np.n
             size, words, of = np.bincount(word, minlength=len(doc)), np.bincount(doc, minlength=high - low), doc[word]
             pair, at = np.unique((of + low).astype(np.int64) << BITS | gram, return_inverse=True)
             keys.append(pair)
-            values.append(np.bincount(at, 1.0 / (size[word] * words[of]), len(pair)))
-    key = np.concatenate(keys)
-    doc, gram = key >> BITS, key & ((1 << BITS) - 1)
+            values.append(np.bincount(at, 1.0 / (size[word] * words[of]), len(pair)).astype(np.float32))
+    doc = np.concatenate([(key >> BITS).astype(np.int32) for key in keys])
+    gram = np.concatenate([(key & ((1 << BITS) - 1)).astype(np.int32) for key in keys])
     kept = np.bincount(gram, minlength=1 << BITS)[gram] >= min(least, max(1, len(texts) // 20))
-    return doc[kept], gram[kept], np.concatenate(values).astype(np.float32)[kept]
+    return doc[kept], gram[kept], np.concatenate(values)[kept]
 
 
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import langid, packing, tokencount, toxicity
+from shelfwise.llm import exactdup, langid, mixing, packing, tokencount, toxicity
 from shelfwise.llm.common import crc_mod, keyed, table
 
 QUERIES: dict = {}
@@ -54,3 +54,38 @@ def pieces_of(docs: DataFrame) -> DataFrame:
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pieces_of(table(spark, folder, "documents"))
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@register(
+    "op1_exact_dedup",
+    f"""
+    WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS h FROM documents),
+         g AS (SELECT h, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY h)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM d JOIN g USING (h)""",
+)
+def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    groups = exactdup.exact_groups(table(spark, folder, "documents"), digests="all")
+    return groups.withColumnRenamed("digest", "text_sha256")
+
+
+@register(
+    "op6_mixing",
+    """
+    WITH n AS (SELECT source, sum(strlen(coalesce(text, ''))) AS bytes FROM documents GROUP BY source),
+         r AS (SELECT source, CASE WHEN bytes > 0 THEN pow(CAST(bytes AS DOUBLE), 0.5) / sum(CASE WHEN bytes > 0 THEN pow(CAST(bytes AS DOUBLE), 0.5) ELSE 0 END) OVER ()
+                              * CAST(sum(bytes) OVER () AS DOUBLE) / bytes ELSE 0 END AS rate FROM n),
+         k AS (SELECT source, rate, unnest(generate_series(0, CAST(ceil(rate + 12 * sqrt(rate) + 30) AS BIGINT))) AS k FROM r WHERE rate > 0),
+         c AS (SELECT source, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS c FROM k),
+         s AS (SELECT source, list(c ORDER BY c) AS steps FROM c GROUP BY source),
+         d AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, s.steps,
+                      CAST('0x' || substr(md5(concat('17|', d.doc_id)), 1, 13) AS BIGINT) / pow(16, 13) AS u
+               FROM documents d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+         m AS (SELECT * EXCLUDE (steps, u), unnest(generate_series(1, len(list_filter(steps, lambda x: x <= u)))) AS copy FROM d)
+    SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INTEGER) AS copy,
+           CAST('0x' || substr(md5(concat('18|', doc_id, '|', copy)), 1, 13) AS BIGINT) AS order_key FROM m""",
+)
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"), numbers=True)

@@ -15,11 +15,10 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.bits import passes
 from shelfwise.llm.common import fresh, keyed, stage
 
 PREFIX = 64
-#: Bits of the filter that keeps unshared texts from being moved; more groups only make it let more through.
-FILTER_BITS = 1 << 20
 
 
 def ascii_lower(text: Column) -> Column:
@@ -57,7 +56,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     else:
         narrow = stage(rows.select(size, head), "keys")
         heads = stage(_shared(narrow.join(_shared(narrow, "size"), "size", "left_semi"), "size", "head"), "heads")
-        some = rows.select("id", "text", size, head).where(_in_filter(heads))
+        some = rows.select("id", "text", size, head).where(passes(heads, "size", "head"))
         full = some.join(heads, ["size", "head"], "left_semi").select("id", F.monotonically_increasing_id().alias("row"), "size", "head", digest)
         full = stage(full, "full")
     groups = (
@@ -80,19 +79,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def _in_filter(groups: DataFrame) -> Column:
-    """Whether a row's (size, head) may be one of ``groups``, by a bit table of fixed size."""
-    spark, words = groups.sparkSession, FILTER_BITS // 64
-    bit = F.pmod(F.xxhash64("size", "head"), F.lit(FILTER_BITS))
-    word = F.floor(bit / 64).cast("int")
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
-    filled = groups.select(word.alias("word"), one.alias("one")).groupBy("word").agg(F.bit_or("one").alias("bits"))
-    every = spark.range(words).select(F.col("id").cast("int").alias("word"))
-    whole = every.join(filled, "word", "left").agg(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits")))).getField("bits").alias("bits"))
-    bits = stage(whole, "filter").scalar()
-    return F.getbit(F.element_at(bits, word + 1), (bit % 64).cast("int")) == 1
-
-
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, without those that ``exact_groups`` drops.
 

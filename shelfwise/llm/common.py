@@ -75,3 +75,34 @@ def bounded_sample(df: DataFrame, rows: dict, by: str, seed: int = 1) -> DataFra
         some = ids.where(F.col(by) == F.lit(value)).orderBy("order", "id").limit(most).select("id")
         chosen = some if chosen is None else chosen.unionByName(some)
     return df.join(F.broadcast(chosen.distinct()), "id", "left_semi").where(F.col(by).isin(list(rows)))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Batches sorted by ``keys``, regrouped so that no group is cut; each table holds one or many whole groups."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        if held:
+            edge = group_starts(pa.Table.from_batches([held[-1].slice(len(held[-1]) - 1), batch]), keys)
+            cut = next((e - 1 for e in edge[::-1].tolist() if e > 0), None)
+        else:
+            cut = group_starts(pa.Table.from_batches([batch]), keys)[-1]
+        if cut is not None:
+            if cut or held:
+                yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+            batch = batch.slice(cut)
+        held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def group_starts(rows: pa.Table, keys: list[str]) -> np.ndarray:
+    """Where the groups of consecutive rows with equal ``keys`` begin."""
+    new = np.zeros(rows.num_rows, bool)
+    new[:1] = True
+    for key in keys:
+        values = rows.column(key).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)

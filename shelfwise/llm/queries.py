@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import exactdup, langid, mixing, packing, tokencount, toxicity
+from shelfwise.llm import exactdup, langid, mixing, packing, simjoin, tokencount, toxicity
 from shelfwise.llm.common import crc_mod, keyed, table
 
 QUERIES: dict = {}
@@ -89,3 +89,8 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), numbers=True)
+
+
+@register("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return simjoin.components(table(spark, folder, "documents"))

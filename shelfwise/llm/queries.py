@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import exactdup, langid, mixing, packing, simjoin, suffixdup, tokencount, toxicity
+from shelfwise.llm import exactdup, langid, mixing, neighbours, packing, simjoin, suffixdup, tokencount, toxicity
 from shelfwise.llm.common import crc_mod, keyed, table
 
 QUERIES: dict = {}
@@ -101,3 +101,8 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = suffixdup.remove_repeats(table(spark, folder, "documents"), 400, "none")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op2_nearest")
+def op2_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)

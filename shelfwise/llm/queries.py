@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import exactdup, langid, mixing, neighbours, packing, simjoin, suffixdup, tokencount, toxicity
+from shelfwise.llm import exactdup, langid, mixing, neighbours, packing, secrets, simjoin, suffixdup, tokencount, toxicity
 from shelfwise.llm.common import crc_mod, keyed, table
 
 QUERIES: dict = {}
@@ -106,3 +106,11 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @register("op2_nearest")
 def op2_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
+@register("op9_secrets")
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find(table(spark, folder, "documents"))
+    counts = [secrets.count_of("base", kind).alias(f"n_{kind}") for kind in secrets.KINDS[:3]]
+    every = secrets.written(F.concat("base", "added"))
+    return found.select("doc_id", *counts, F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"), every.alias("spans"))

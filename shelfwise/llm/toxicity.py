@@ -27,6 +27,8 @@ from shelfwise.llm.common import bounded_sample, keyed
 
 BITS = 18
 SIZES = (4, 5, 6)
+#: Words without weight that every document is taken to have besides its own, so that one odd word of a short text does not decide.
+SMOOTH = 8
 BLOCK_CHARS = 1 << 20
 _LETTER = np.array([chr(i).isalnum() for i in range(1 << 16)])
 
@@ -57,7 +59,7 @@ class Model:
                 size = np.bincount(word, minlength=len(doc))
                 mean = np.bincount(word, self.weight[gram], len(doc)) / np.maximum(size, 1)
                 words = np.bincount(doc, minlength=high - low)
-                out[low:high] += np.bincount(doc, mean, high - low) / np.maximum(words, 1)
+                out[low:high] += np.bincount(doc, mean, high - low) / (words + SMOOTH)
         return out
 
 
@@ -148,7 +150,7 @@ def _weights(texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray, np.n
             size, words, of = np.bincount(word, minlength=len(doc)), np.bincount(doc, minlength=high - low), doc[word]
             pair, at = np.unique((of + low).astype(np.int64) << BITS | gram, return_inverse=True)
             keys.append(pair)
-            values.append(np.bincount(at, 1.0 / (size[word] * words[of]), len(pair)).astype(np.float32))
+            values.append(np.bincount(at, 1.0 / (size[word] * (words[of] + SMOOTH)), len(pair)).astype(np.float32))
     doc = np.concatenate([(key >> BITS).astype(np.int32) for key in keys])
     gram = np.concatenate([(key & ((1 << BITS) - 1)).astype(np.int32) for key in keys])
     kept = np.bincount(gram, minlength=1 << BITS)[gram] >= min(least, max(1, len(texts) // 20))

@@ -183,21 +183,30 @@ def flatten_feed_transactions(spark, sf):
     return flat(spark, sf)["transactions"]
 
 
-# --- streams, replayed from the files until they are used up ---
+# --- streams, replayed one file per trigger; every file holds rows of all dates, so most rows come late ---
 
+FILES = 3
 
-def stream(spark, sf, name):
-    """A test table as a stream of files."""
-    return spark.readStream.schema(raw_table(spark, sf, name).schema).parquet(f"{sf}/{name}*.parquet")
 
+def stream(spark, sf, name, key):
+    """A test table as a stream of files that are not in the order of time."""
+    path = new_folder(spark, "arriving")
+    raw_table(spark, sf, name).repartition(FILES, F.col(key)).write.parquet(path)
+    schema = raw_table(spark, sf, name).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
-def moves(events):
+
+def sales_and_imports(events):
+    """Purchases and errors as sales, signups as imports of five pieces."""
     kind = F.col("event_type")
-    return events.select(
+    rows = events.select(
         (F.col("user_id") % 5).cast("int").alias("store_id"),
         F.concat(F.lit("SKU "), kind).alias("sku"),
-        F.when(kind == "purchase", -1).when(kind == "signup", 5).when(kind == "error", -3).otherwise(0).alias("quantity"),
+        F.lit(None).cast("bigint").alias("product_id"),
+        F.when(kind == "purchase", 1).when(kind == "error", 3).otherwise(0).alias("quantity"),
+        F.when(kind == "signup", 5).otherwise(0).alias("quantity_imported"),
     )
+    return rows.drop("quantity_imported"), rows.drop("quantity", "product_id")
 
 
 @case(
@@ -208,8 +217,11 @@ def moves(events):
 )
 def stock_stream(spark, sf):
     path = new_folder(spark, "stock")
-    stock.stock_stream(moves(stream(spark, sf, "events")), f"{path}/batches", f"{path}/checkpoint").awaitTermination()
-    opening = moves(raw_table(spark, sf, "events")).select("store_id", "sku").distinct()
+    sold, _ = sales_and_imports(stream(spark, sf, "events", "event_id"))
+    _, came = sales_and_imports(stream(spark, sf, "events", "event_id"))
+    changes = stock.movements(sold, came)
+    stock.stock_stream(changes, f"{path}/batches", f"{path}/checkpoint", fold_every=2).awaitTermination()
+    opening = sales_and_imports(raw_table(spark, sf, "events"))[1].select("store_id", "sku").distinct()
     return stock.on_hand(spark, f"{path}/batches", opening.withColumn("quantity", F.lit(40).cast("bigint")))
 
 
@@ -219,33 +231,58 @@ def stock_stream(spark, sf):
     "SELECT DISTINCT l_orderkey * 10 + l_linenumber AS transaction_id FROM lineitem",
 )
 def dedup_stream(spark, sf):
-    lines = stream(spark, sf, "lineitem").select(
+    lines = stream(spark, sf, "lineitem", "l_partkey").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
         F.col("l_shipdate").alias("transaction_date"),
     )
     path = new_folder(spark, "dedup")
-    unique = sales.dedup_stream(lines, "3650 days").select("transaction_id")
-    query = unique.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
-    query.format("parquet").start(f"{path}/rows").awaitTermination()
-    return spark.read.parquet(f"{path}/rows")
+    sales.dedup_stream(lines, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{path}/rows").select("transaction_id")
 
 
-@case(
-    "daily_stream",
-    (),
-    """SELECT CAST(user_id % 5 AS INTEGER) AS store_id, event_type AS sku, CAST(ts AS DATE) AS date,
-              CAST(sum(1 + event_id % 3) AS DOUBLE) AS qty FROM events GROUP BY 1, 2, 3""",
-)
-def daily_stream(spark, sf):
-    tx = stream(spark, sf, "events").select(
+def event_sales(spark, sf):
+    return stream(spark, sf, "events", "event_id").select(
         (F.col("user_id") % 5).cast("int").alias("store_id"),
         F.col("event_type").alias("sku"),
         (1 + F.col("event_id") % 3).alias("quantity"),
         F.col("ts").alias("transaction_date"),
     )
+
+
+ARRIVED = {
+    "arrived": """SELECT CAST(user_id % 5 AS INTEGER) AS store_id, event_type AS sku, CAST(ts AS DATE) AS date,
+                         CAST(sum(1 + event_id % 3) AS DOUBLE) AS qty FROM events GROUP BY 1, 2, 3"""
+}
+
+
+@case("daily_stream", ("arrived",), "SELECT * FROM arrived", ARRIVED)
+def daily_stream(spark, sf):
     path = new_folder(spark, "days")
-    sales.daily_stream(tx, f"{path}/batches", f"{path}/checkpoint").awaitTermination()
-    return sales.latest_days(spark.read.parquet(f"{path}/batches"))
+    sales.daily_stream(event_sales(spark, sf), f"{path}/batches", f"{path}/checkpoint", fold_every=2).awaitTermination()
+    return sales.days(spark, f"{path}/batches")
+
+
+@case(
+    "refresh_stream",
+    ("arrived",),
+    f"""SELECT d.store_id, d.sku, d.date, d.qty, lag(qty, 1, 0.0) OVER w AS lag_1d,
+               coalesce({rounded("avg(qty) OVER d14", 4)}, 0.0) AS rolling_mean_14d,
+               coalesce({rounded("avg(qty) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)", 4)}, 0.0) AS target_encoding_store_sku,
+               CAST(c.stores AS DOUBLE) AS sku_store_coverage,
+               CAST(d.date - c.first_date AS DOUBLE) AS total_lifespan,
+               CAST(d.date - min(d.date) OVER (PARTITION BY d.store_id, d.sku) AS DOUBLE) AS s_total_lifespan
+        FROM arrived d JOIN (SELECT sku, count(DISTINCT store_id) AS stores, min(date) AS first_date FROM arrived GROUP BY sku) c USING (sku)
+        WINDOW w AS (PARTITION BY d.store_id, d.sku ORDER BY d.date),
+               d14 AS (PARTITION BY d.store_id, d.sku ORDER BY d.date - DATE '1970-01-01' RANGE BETWEEN 14 PRECEDING AND 1 PRECEDING)""",
+    ARRIVED,
+)
+def refresh_stream(spark, sf):
+    path = new_folder(spark, "refreshed")
+    query = sales.daily_stream(event_sales(spark, sf), f"{path}/batches", f"{path}/checkpoint", refreshed=f"{path}/features")
+    query.awaitTermination()
+    rows = sales.newest_features(spark.read.parquet(f"{path}/features"))
+    columns = ("lag_1d", "rolling_mean_14d", "target_encoding_store_sku", "sku_store_coverage", "total_lifespan", "s_total_lifespan")
+    return rows.select("store_id", "sku", "date", "qty", *columns)
 
 
 @case(
@@ -282,9 +319,7 @@ def audit_stream(spark, sf):
         F.when(kind == "click", "LOGIN_SUCCESS").when(kind == "purchase", "TRANSACTION_CREATE")
         .when(kind == "view", "STOCK_UPDATE").when(kind == "error", "MFA_DELETE").otherwise("EXPORT")
     )
-    log = stream(spark, sf, "events").select(F.col("ts").alias("timestamp"), action.alias("action"))
+    log = stream(spark, sf, "events", "event_id").select(F.col("ts").alias("timestamp"), action.alias("action"))
     path = new_folder(spark, "audit")
-    audit.audit_stream(log, f"{path}/batches", f"{path}/checkpoint").awaitTermination()
-    batches = spark.read.parquet(f"{path}/batches")
-    latest = batches.groupBy("start", "action_class").agg(F.max_by("n", "batch_id").alias("n"))
-    return latest.withColumn("start", F.col("start").cast("timestamp_ntz"))
+    audit.audit_stream(log, f"{path}/batches", f"{path}/checkpoint", fold_every=2).awaitTermination()
+    return audit.counts(spark, f"{path}/batches").withColumn("start", F.col("start").cast("timestamp_ntz"))

@@ -125,19 +125,23 @@ def coverage_lifespan(
     """
     daily = df if daily is None else daily
     coverage = product_coverage(daily) if coverage is None else coverage
-    return (
-        df.join(series_table(daily), list(SERIES), "left")
-        .join(coverage, "product_id", "left")
-        .withColumns(
-            {
-                "total_lifespan": _or_zero(F.datediff("date", "first_global_date")),
-                "s_total_lifespan": _or_zero(F.datediff("date", "first_store_date")),
-                "sku_store_coverage": F.greatest(F.lit(1.0), F.coalesce("sku_store_coverage", F.lit(0.0))),
-                "product_store_coverage": F.greatest(F.lit(1.0), F.coalesce("product_store_coverage", F.lit(0.0))),
-            }
-        )
-        .drop("first_global_date", "first_store_date")
-    )
+    stores = F.greatest(F.lit(1.0), F.coalesce("product_store_coverage", F.lit(0.0)))
+    joined = df.join(series_table(daily), list(SERIES), "left").join(coverage, "product_id", "left")
+    return _lifespan_columns(joined).withColumn("product_store_coverage", stores)
+
+
+def lifespan(df: DataFrame, series: DataFrame) -> DataFrame:
+    """Store coverage of the SKU, and days since the first sale anywhere and in the store, from ``series_table``."""
+    return _lifespan_columns(df.join(series, list(SERIES), "left"))
+
+
+def _lifespan_columns(df: DataFrame) -> DataFrame:
+    columns = {
+        "total_lifespan": _or_zero(F.datediff("date", "first_global_date")),
+        "s_total_lifespan": _or_zero(F.datediff("date", "first_store_date")),
+        "sku_store_coverage": F.greatest(F.lit(1.0), F.coalesce("sku_store_coverage", F.lit(0.0))),
+    }
+    return df.withColumns(columns).drop("first_global_date", "first_store_date")
 
 
 def project_features(df: DataFrame, extended: bool = False) -> DataFrame:

@@ -4,23 +4,24 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.functions.text import action_class
-from shelfwise.streaming.sales import with_event_time
+from shelfwise.streaming import deltas
 from shelfwise.streaming.stock import NOW
 
+KEYS = ["start", "action_class"]
+COUNTS = "start TIMESTAMP, action_class STRING, n BIGINT"
 
-def audit_counts(
-    log: DataFrame, every: str = "1 hour", slide: str | None = None, delay: str = "1 hour", time: str = "timestamp"
-) -> DataFrame:
-    """Events per class in tumbling (or, with ``slide``, sliding) windows; works on batches and streams."""
-    window = F.window(time, every, slide) if slide else F.window(time, every)
+
+def audit_counts(log: DataFrame, every: str = "1 hour", slide: str | None = None, time: str = "timestamp") -> DataFrame:
+    """Events per class in tumbling (or, with ``slide``, sliding) windows; plain timestamps are read as UTC."""
+    moment = F.col(time).cast("timestamp")
+    window = F.window(moment, every, slide) if slide else F.window(moment, every)
     return (
-        with_event_time(log, time, delay)
-        .groupBy(window.alias("window"), action_class(F.col("action")).alias("action_class"))
+        log.groupBy(window.alias("window"), action_class(F.col("action")).alias("action_class"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("window.start").alias("start"), "action_class", "n")
     )
@@ -32,17 +33,19 @@ def audit_stream(
     checkpoint: str,
     every: str = "1 hour",
     slide: str | None = None,
-    delay: str = "1 hour",
+    fold_every: int = 100,
     trigger: dict[str, Any] = NOW,
 ) -> StreamingQuery:
+    """Write each batch's own counts; late events add to their interval. Read the result with ``counts``."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        deltas.write_batch(audit_counts(batch, every, slide), path, batch_id)
+        if (batch_id + 1) % fold_every == 0:
+            deltas.fold(batch.sparkSession, path, COUNTS, KEYS, batch_id)
 
-    return (
-        audit_counts(log, every, slide, delay)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-        .trigger(**trigger)
-        .start()
-    )
+    return log.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
+
+
+def counts(spark: SparkSession, path: str) -> DataFrame:
+    """Events per interval and class over all batches."""
+    return deltas.total(deltas.read_deltas(spark, path, COUNTS), KEYS)

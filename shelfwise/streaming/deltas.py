@@ -1,0 +1,48 @@
+"""Sums kept as one folder of changes per micro-batch.
+
+A batch writes what it adds, and nothing is held in state or dropped for being
+late: a row counts whenever it arrives. Writing a batch twice replaces its
+folder. ``fold`` adds the folders up into one, so that reading does not get
+slower with the number of batches; folded batch folders may then be deleted.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int, level: str = "batch") -> None:
+    rows.write.mode("overwrite").parquet(f"{path}/level={level}/batch_id={batch_id}")
+
+
+def last_fold(spark: SparkSession, path: str) -> int:
+    """The last batch that is part of a folded folder, or -1."""
+    folded = spark.read.schema("level STRING, batch_id BIGINT").parquet(path).where("level = 'folded'")
+    return folded.agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
+
+
+def read_deltas(spark: SparkSession, path: str, schema: str, through: int | None = None) -> DataFrame:
+    """The newest folded folder and all batches after it, up to ``through``; other folders are not read."""
+    last = last_fold(spark, path)
+    every = spark.read.schema(f"{schema}, level STRING, batch_id BIGINT").parquet(path)
+    wanted = ((F.col("level") == "folded") & (F.col("batch_id") == last)) | (
+        (F.col("level") == "batch") & (F.col("batch_id") > last)
+    )
+    if through is not None:
+        wanted &= F.col("batch_id") <= through
+    return every.where(wanted).drop("level", "batch_id")
+
+
+def total(deltas: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All columns besides ``keys`` added up per key."""
+    sums = [F.sum(name).alias(name) for name in deltas.columns if name not in keys]
+    return deltas.groupBy(*keys).agg(*sums)
+
+
+def fold(spark: SparkSession, path: str, schema: str, keys: Sequence[str], through: int) -> None:
+    """Add up everything to batch ``through``; readers use the new folder once it is there."""
+    if through > last_fold(spark, path):
+        write_batch(total(read_deltas(spark, path, schema, through), keys), path, through, "folded")

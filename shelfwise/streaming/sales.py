@@ -4,65 +4,81 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators import features
+from shelfwise.operators.rows import dedup
+from shelfwise.streaming import deltas
 from shelfwise.streaming.stock import NOW
 
+KEYS = ["store_id", "sku", "date"]
+DAYS = "store_id INT, sku STRING, date DATE, qty BIGINT"
 
-def with_event_time(df: DataFrame, col: str, delay: str) -> DataFrame:
-    """A watermark needs a timestamp with time zone; plain ones are read as UTC."""
-    return df.withColumn(col, F.col(col).cast("timestamp")).withWatermark(col, delay)
 
+def dedup_stream(
+    tx: DataFrame, path: str, checkpoint: str, key: str = "transaction_id", trigger: dict[str, Any] = NOW
+) -> StreamingQuery:
+    """Append to ``path`` the first arrival of each key, however late a copy or a new key comes.
+
+    Copies inside a batch are reduced by an aggregate; keys of earlier batches are
+    taken out by an anti-join that reads only the stored keys. Both sides are
+    shuffled by key, so neither has to fit anywhere. A batch that runs again
+    replaces its own folder.
+    """
+    columns = tx.columns
 
-def dedup_stream(tx: DataFrame, delay: str = "1 day", time: str = "transaction_date") -> DataFrame:
-    """The first arrival of each transaction id; ids are remembered for the watermark delay."""
-    return with_event_time(tx, time, delay).dropDuplicatesWithinWatermark(["transaction_id"])
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rest = [name for name in columns if name != key]
+        rows = dedup(batch, [key], rest or [key])
+        if batch_id:
+            stored = batch.sparkSession.read.schema(f"{key} {dict(tx.dtypes)[key]}, batch_id BIGINT").parquet(path)
+            rows = rows.join(stored.where(F.col("batch_id") < batch_id).select(key), key, "left_anti")
+        rows.select(*columns).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return tx.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
 
 
-def daily_sums(tx: DataFrame, delay: str = "1 day", time: str = "transaction_date") -> DataFrame:
-    """Quantity per (store, SKU, day) over one-day event-time windows."""
-    day = F.window(time, "1 day")
-    return (
-        with_event_time(tx.where(F.col("quantity") > 0), time, delay)
-        .groupBy("store_id", "sku", day.alias("window"))
-        .agg(F.sum("quantity").alias("qty"))
-        .select("store_id", "sku", F.to_date("window.start").alias("date"), "qty")
-    )
+def daily_sums(tx: DataFrame, time: str = "transaction_date") -> DataFrame:
+    """Quantity per (store, SKU, day)."""
+    sold = tx.where(F.col("quantity") > 0)
+    keys = [F.col("store_id").cast("int").alias("store_id"), "sku", F.to_date(time).alias("date")]
+    return sold.groupBy(*keys).agg(F.sum("quantity").cast("bigint").alias("qty"))
 
 
 def daily_stream(
     tx: DataFrame,
     path: str,
     checkpoint: str,
-    delay: str = "1 day",
     time: str = "transaction_date",
+    refreshed: str | None = None,
+    fold_every: int = 100,
     trigger: dict[str, Any] = NOW,
 ) -> StreamingQuery:
-    """Write each batch's new daily sums below ``path``; a later batch's value of a day supersedes earlier ones.
+    """Write each batch's own daily sums below ``path``; late rows add to their day. Read the result with ``days``.
 
-    Update mode also writes days that are still open, so nothing waits for the
-    watermark to pass. Read the result with ``latest_days``.
+    With ``refreshed``, each batch also writes there the new feature rows of the
+    SKUs it touched; read them with ``newest_features``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        deltas.write_batch(daily_sums(batch, time), path, batch_id)
+        if refreshed:
+            touched = spark.read.parquet(f"{path}/level=batch/batch_id={batch_id}")
+            rows = refresh_skus(touched, days(spark, path, batch_id))
+            rows.write.mode("overwrite").parquet(f"{refreshed}/batch_id={batch_id}")
+        if (batch_id + 1) % fold_every == 0:
+            deltas.fold(spark, path, DAYS, KEYS, batch_id)
 
-    return (
-        daily_sums(tx, delay, time)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-        .trigger(**trigger)
-        .start()
-    )
+    return tx.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
 
 
-def latest_days(batches: DataFrame) -> DataFrame:
-    """The daily table as of the last batch."""
-    return batches.groupBy("store_id", "sku", "date").agg(F.max_by("qty", "batch_id").cast("double").alias("qty"))
+def days(spark: SparkSession, path: str, through: int | None = None) -> DataFrame:
+    """The daily table as of the last batch, or of batch ``through``."""
+    summed = deltas.total(deltas.read_deltas(spark, path, DAYS, through), KEYS)
+    return summed.withColumn("qty", F.col("qty").cast("double"))
 
 
 def refresh_features(touched: DataFrame, daily: DataFrame, extended: bool = True) -> DataFrame:
@@ -75,3 +91,20 @@ def refresh_features(touched: DataFrame, daily: DataFrame, extended: bool = True
     since = touched.groupBy("store_id", "sku").agg(F.min("date").alias("_since"))
     series = daily.join(since, ["store_id", "sku"])
     return features.window_features(series, extended).where(F.col("date") >= F.col("_since")).drop("_since")
+
+
+def refresh_skus(touched: DataFrame, daily: DataFrame, extended: bool = True) -> DataFrame:
+    """Window features, SKU coverage and lifespans of all series of the touched SKUs.
+
+    A new store or an earlier first day changes coverage and lifespan in every
+    series of its SKU, so all of them are renewed; other SKUs cannot change.
+    """
+    mine = daily.join(touched.select("sku").distinct(), "sku", "left_semi").select(*daily.columns)
+    return features.lifespan(features.window_features(mine, extended), features.series_table(mine))
+
+
+def newest_features(refreshed: DataFrame) -> DataFrame:
+    """Of the rows that batches wrote for a day, those of the last batch."""
+    rest = [name for name in refreshed.columns if name not in (*KEYS, "batch_id")]
+    last = refreshed.groupBy(*KEYS).agg(F.max_by(F.struct(*rest), "batch_id").alias("_last"))
+    return last.select(*KEYS, "_last.*")

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators.maintain import sale_deltas
+from shelfwise.streaming import deltas
 
 NOW: dict[str, Any] = {"availableNow": True}
+KEYS = ["store_id", "sku"]
+NET = "store_id INT, sku STRING, net BIGINT"
 
 
 def movements(sales: DataFrame, imports: DataFrame) -> DataFrame:
@@ -22,36 +25,32 @@ def movements(sales: DataFrame, imports: DataFrame) -> DataFrame:
     return sold.unionByName(came)
 
 
-def stock_stream(changes: DataFrame, path: str, checkpoint: str, trigger: dict[str, Any] = NOW) -> StreamingQuery:
-    """Keep the net change per (store, SKU) and write, per batch, the keys that moved.
+def stock_stream(
+    changes: DataFrame, path: str, checkpoint: str, fold_every: int = 100, trigger: dict[str, Any] = NOW
+) -> StreamingQuery:
+    """Write, per batch, the net change of each (store, SKU) that moved; every ``fold_every`` batches they are folded.
 
-    The state is one number per key; a hot key is added up on the map side of
-    every batch. Each batch has a folder of its own below ``path``, so writing it
-    a second time replaces it.
+    A hot key is added up on the map side of every batch.
     """
-    net = changes.groupBy("store_id", "sku").agg(F.sum("quantity").alias("net"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        net = batch.groupBy(*KEYS).agg(F.sum("quantity").cast("bigint").alias("net"))
+        deltas.write_batch(net.withColumn("store_id", F.col("store_id").cast("int")), path, batch_id)
+        if (batch_id + 1) % fold_every == 0:
+            deltas.fold(batch.sparkSession, path, NET, KEYS, batch_id)
 
     return (
-        net.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-        .trigger(**trigger)
-        .start()
+        changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
     )
 
 
 def on_hand(spark: SparkSession, path: str, opening: DataFrame) -> DataFrame:
-    """Opening stock plus the latest net change of each key, with a flag on stock below zero."""
-    schema = "store_id INT, sku STRING, net BIGINT, batch_id BIGINT"
-    moved = spark.read.schema(schema).parquet(path)
-    latest = moved.groupBy("store_id", "sku").agg(F.max_by("net", "batch_id").alias("net"))
+    """Opening stock plus the net change of each key, with a flag on stock below zero."""
+    moved = deltas.total(deltas.read_deltas(spark, path, NET), KEYS)
     quantity = F.coalesce("quantity", F.lit(0)) + F.coalesce("net", F.lit(0))
     return (
         opening.select("store_id", "sku", "quantity")
-        .join(latest, ["store_id", "sku"], "full")
+        .join(moved, KEYS, "full")
         .select("store_id", "sku", quantity.alias("quantity"))
         .withColumn("warn", F.col("quantity") < 0)
     )

@@ -408,16 +408,19 @@ def scope_rows(spark, sf):
     return serve.scope_rows(table(spark, sf, "stock"), "Store Manager", 6, PERMS)
 
 
+@case("scope_rows_store_list", ("stores",), "SELECT * FROM stores")
+def scope_rows_store_list(spark, sf):
+    perms = {"IT Admin": ["manage_users"]}
+    return serve.scope_rows(table(spark, sf, "stores"), "IT Admin", None, perms, (*serve.EVERY_STORE, "manage_users"))
+
+
 @case(
-    "scope_for_users",
-    ("stock", "users", "perms"),
-    """SELECT u.username, s.store_id, s.sku, s.quantity FROM users u JOIN stock s
-       ON u.role IN (SELECT role FROM perms WHERE permission = 'view_all_stores')
-       OR (u.role IN (SELECT role FROM perms WHERE permission = 'view_own_store') AND u.store_id = s.store_id)""",
+    "list_page_total",
+    ("imports",),
+    """SELECT *, count(*) OVER () AS page_total FROM (SELECT * FROM imports WHERE store_id = 7 ORDER BY import_id LIMIT 100 OFFSET 10)""",
 )
-def scope_for_users(spark, sf):
-    t = tables(spark, sf, "stock", "users", "perms")
-    return serve.scope_for_users(t["stock"].select("store_id", "sku", "quantity"), t["users"], t["perms"])
+def list_page_total(spark, sf):
+    return serve.listing(table(spark, sf, "imports"), {"store_id": 7}, ["import_id"], 100, 10, with_page_total=True)
 
 
 @case("discounts_for", ("discounts",), "SELECT * FROM discounts WHERE store_id = 3 OR store_id IS NULL")

@@ -149,7 +149,7 @@ def join_dims(spark, sf):
 )
 def resolve_sku(spark, sf):
     t = tables(spark, sf, "transactions", "products")
-    lines = dims.priced_lines(clean.clean_transactions(t["transactions"]), clean.clean_products(t["products"]))
+    lines = dims.priced_lines(jobs.sold_lines(t), clean.clean_products(t["products"]))
     return lines.groupBy("sku").agg(F.sum("n").alias("n"), F.sum("quantity").alias("quantity"))
 
 
@@ -160,15 +160,15 @@ DAILY_COLUMNS = """store_id, sku, date, qty, avg_usd_price, total_discount_avg,
 @case("daily_sales", ("daily",), f"SELECT {DAILY_COLUMNS} FROM daily")
 def daily_sales(spark, sf):
     t = tables(spark, sf, *BASE)
-    tx = clean.clean_transactions(t["transactions"])
+    lines = jobs.sold_lines(t)
     products = jobs.product_table(t["products"])
-    totals = aggregate.daily_totals(dims.priced_lines(tx, products))
-    return dims.describe(totals, products, stage(clean.clean_stores(t["stores"], tx), "stores"))
+    totals = aggregate.daily_totals(dims.priced_lines(lines, products))
+    return dims.describe(totals, products, stage(clean.clean_stores(t["stores"], lines), "stores"))
 
 
 @case("store_variety", ("variety",), "SELECT * FROM variety")
 def store_variety(spark, sf):
-    return aggregate.store_variety(clean.clean_transactions(tables(spark, sf, "transactions")["transactions"]))
+    return aggregate.store_variety(jobs.sold_lines(tables(spark, sf, "transactions")))
 
 
 KEYS = "store_id, sku, date, "

@@ -44,12 +44,9 @@ def write_features(spark, sf):
     """Written twice to the first of two folders: the second run replaces the dates of the first."""
     folders = [new_folder(spark, "final_daily"), new_folder(spark, "final_daily")]
     rows = features.project_features(feature_table(spark, sf))
-    # Months instead of days keep the number of test folders small; the write is the same.
-    io.write_features(rows.withColumn("day", F.col("date")).withColumn("date", F.trunc("date", "year")), [{"path": p} for p in folders])
-    back = spark.read.parquet(folders[0])
-    io.write_features(back.where(F.col("date") == "1998-01-01"), [{"path": folders[1]}])
-    back = spark.read.parquet(folders[1]).withColumn("date", F.col("day")).drop("day")
-    return features.project_features(back)
+    io.write_features(rows, [{"path": p} for p in folders])
+    io.write_features(spark.read.parquet(folders[0]), [{"path": folders[1]}])
+    return features.project_features(spark.read.parquet(folders[1]))
 
 
 @case("conform", ("products",), """SELECT CAST(product_id AS VARCHAR) AS product_id, sku, category, price, CAST(NULL AS INTEGER) AS stock FROM products""")
@@ -136,12 +133,7 @@ def flatten_feed_stores(spark, sf):
 @case(
     "flatten_feed_products",
     ("feed_items",),
-    """SELECT DISTINCT CAST(id AS BIGINT) AS product_id, 'Sản phẩm SKU-' || id AS product_name,
-              ['Clothing', 'Shoes', 'Accessories'][CAST(id AS BIGINT) % 3 + 1] AS category,
-              CASE CAST(id AS BIGINT) % 3 WHEN 0 THEN ['T-Shirts', 'Jeans', 'Jackets', 'Dresses', 'Sweaters'][CAST(id AS BIGINT) % 5 + 1]
-                   WHEN 1 THEN ['Sneakers', 'Boots', 'Sandals'][CAST(id AS BIGINT) % 3 + 1]
-                   ELSE ['Bags', 'Hats', 'Belts', 'Watches'][CAST(id AS BIGINT) % 4 + 1] END AS sub_category,
-              CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN 'Cor Unica' ELSE 'Multi Color' END AS color_type FROM feed_items""",
+    "SELECT DISTINCT CAST(id AS BIGINT) AS product_id, 'Sản phẩm SKU-' || id AS product_name FROM feed_items",
     FEED,
 )
 def flatten_feed_products(spark, sf):
@@ -151,7 +143,7 @@ def flatten_feed_products(spark, sf):
 @case(
     "flatten_feed_skus",
     ("feed_items",),
-    "SELECT DISTINCT 'SKU-' || id AS sku, CAST(id AS BIGINT) AS product_id, 'M' AS size, 'Mixed' AS color FROM feed_items",
+    "SELECT DISTINCT 'SKU-' || id AS sku, CAST(id AS BIGINT) AS product_id FROM feed_items",
     FEED,
 )
 def flatten_feed_skus(spark, sf):
@@ -162,7 +154,6 @@ def flatten_feed_skus(spark, sf):
     "flatten_feed_forecasts",
     ("feed_items",),
     """SELECT store_id, 'SKU-' || id AS sku, 'Sản phẩm SKU-' || id AS product_name,
-              ['Clothing', 'Shoes', 'Accessories'][CAST(id AS BIGINT) % 3 + 1] AS category,
               CAST(isoyear(CAST(date AS DATE)) AS INTEGER) AS year, CAST(week(CAST(date AS DATE)) AS INTEGER) AS week,
               CAST(round(weekly_forecast) AS INTEGER) AS predicted_quantity, CAST(round(weekly_sale) AS INTEGER) AS actual_quantity
        FROM feed_items""",

@@ -62,7 +62,7 @@ def apply_sales(spark, sf):
 
 def _walk(lines: str, keys: str, order: str) -> dict[str, str]:
     """Serve ``lines`` (keys, order, asked, available) one by one."""
-    join = " AND ".join(f"n.{k} = w.{k}" for k in keys.split(", "))
+    join = " AND ".join(f"n.{k} IS NOT DISTINCT FROM w.{k}" for k in keys.split(", "))
     cols = ", ".join(f"n.{k}" for k in keys.split(", "))
     return {
         "numbered": f"SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn FROM ({lines})",
@@ -85,24 +85,24 @@ ORDERS = "store_id, trim(sku) AS sku, line_id, quantity, CAST(transaction_date A
     ("transactions", "stock"),
     "SELECT store_id, sku, line_id, accepted, CASE WHEN accepted THEN CAST(remaining AS BIGINT) END AS \"left\" FROM walk",
     _walk(
-        f"""SELECT o.*, o.quantity AS asked, coalesce(s.quantity, 100) AS available
-            FROM (SELECT {ORDERS} FROM transactions WHERE sku IS NOT NULL) o
-                 LEFT JOIN (SELECT * FROM stock WHERE quantity > 200) s USING (store_id, sku)""",
+        f"""SELECT o.*, o.quantity AS asked, CASE WHEN sku IS NULL THEN 0 ELSE coalesce(s.quantity, 100) END AS available
+            FROM (SELECT {ORDERS} FROM transactions) o
+                 LEFT JOIN stock s USING (store_id, sku)""",
         "store_id, sku",
         "day, line_id, asked",
     ),
 )
 def allocate_stock(spark, sf):
     t = tables(spark, sf, "transactions", "stock")
-    orders = t["transactions"].where(F.col("sku").isNotNull()).select(
+    orders = t["transactions"].select(
         "store_id", F.trim("sku").alias("sku"), "line_id", "quantity", F.to_date("transaction_date").alias("day")
     )
-    out = allocation.allocate_stock(t["stock"].where(F.col("quantity") > 200), orders, ["day", "line_id", "quantity"])
+    out = allocation.allocate_stock(t["stock"], orders, ["day", "line_id", "quantity"])
     return out.select("store_id", "sku", "line_id", "accepted", "left")
 
 
-CART = """SELECT customer_id % 50 AS order_id, trim(sku) AS sku, line_id, quantity, quantity AS asked, unit_price AS price
-          FROM transactions WHERE sku IS NOT NULL"""
+CART = """SELECT customer_id AS order_id, trim(sku) AS sku, line_id, quantity, quantity AS asked, unit_price AS price
+          FROM transactions"""
 
 
 @case(
@@ -112,7 +112,7 @@ CART = """SELECT customer_id % 50 AS order_id, trim(sku) AS sku, line_id, quanti
         FROM walk w JOIN ({CART}) c USING (line_id, asked) WHERE w.accepted GROUP BY 1, 2""",
     _walk(
         f"""SELECT c.*, coalesce(s.available, 0) AS available
-            FROM ({CART}) c LEFT JOIN (SELECT sku, CAST(sum(quantity) // 30 AS BIGINT) AS available FROM stock GROUP BY sku) s
+            FROM ({CART}) c LEFT JOIN (SELECT sku, CAST(sum(quantity) // 900 AS BIGINT) AS available FROM stock GROUP BY sku) s
             USING (sku)""",
         "order_id, sku",
         "line_id, asked",
@@ -120,14 +120,14 @@ CART = """SELECT customer_id % 50 AS order_id, trim(sku) AS sku, line_id, quanti
 )
 def merge_order_lines(spark, sf):
     t = tables(spark, sf, "transactions", "stock")
-    lines = t["transactions"].where(F.col("sku").isNotNull()).select(
-        (F.col("customer_id") % 50).alias("order_id"),
+    lines = t["transactions"].select(
+        F.col("customer_id").alias("order_id"),
         F.trim("sku").alias("sku"),
         "line_id",
         "quantity",
         F.col("unit_price").alias("price"),
     )
-    limits = t["stock"].groupBy("sku").agg(F.floor(F.sum("quantity") / 30).alias("quantity"))
+    limits = t["stock"].groupBy("sku").agg(F.floor(F.sum("quantity") / 900).alias("quantity"))
     return allocation.merge_order_lines(lines, limits, ["line_id", "quantity"])[0]
 
 
@@ -204,16 +204,6 @@ def drop_product_stock(spark, sf):
     return maintain.drop_product_stock(t["inventory"], t["shop_products"].where(F.col("category") == "Feminine"))
 
 
-@case(
-    "store_sku_grid",
-    ("skus", "stores"),
-    "SELECT s.store_id, k.sku FROM (SELECT DISTINCT sku FROM skus) k, stores s",
-)
-def store_sku_grid(spark, sf):
-    t = tables(spark, sf, "skus", "stores")
-    return dims.store_sku_grid(t["skus"], t["stores"])
-
-
 @case(
     "reconcile_stock",
     ("stock", "imports"),

@@ -18,8 +18,6 @@ AUDIT_CLASSES = ("login", "create", "update", "delete", "mfa")
 UNKNOWN_SKU = "SKU-UNKNOWN"
 PRODUCT_LABEL = "Sản phẩm"
 CUSTOMER_LABEL = "Khách hàng"
-EMPLOYEE_LABEL = "Nhân viên"
-DISCOUNT_LABEL = "Khuyến mãi"
 STORE_LABEL = "Store"
 
 

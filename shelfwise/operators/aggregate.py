@@ -11,8 +11,22 @@ ATTRIBUTES = ("size", "color", "color_type", "category", "sub_category")
 PLACES = ("country", "city")
 
 
+def combined_lines(tx: DataFrame) -> DataFrame:
+    """Clean transaction lines added up per (store, product, original SKU, day), the one pass over the raw rows.
+
+    All sums are of whole numbers, so the order of adding does not matter, and
+    they are made on the map side before anything moves.
+    """
+    shares = money.whole_units(F.coalesce("discount_pct", F.lit(0.0)), money.SHARE_UNITS)
+    return tx.groupBy("store_id", "product_id", "sku_original", "tx_date").agg(
+        F.sum(F.col("quantity").cast("bigint")).alias("quantity"),
+        F.sum(shares).alias("shares"),
+        F.count(F.lit(1)).alias("n"),
+    )
+
+
 def store_variety(tx: DataFrame) -> DataFrame:
-    """Distinct products and distinct original SKUs sold per store.
+    """Distinct products and distinct original SKUs sold per store, from lines or combined lines.
 
     Spark de-duplicates on (store, value) before it counts per store, so a store
     with a third of all sales sends only its distinct values.

@@ -14,7 +14,6 @@ from shelfwise.functions import money, text
 from shelfwise.operators import clean
 from shelfwise.operators.aggregate import ATTRIBUTES, PLACES
 from shelfwise.operators.rows import dedup
-from shelfwise.session import can_broadcast
 
 
 def join_dims(tx: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
@@ -32,25 +31,13 @@ def join_dims(tx: DataFrame, products: DataFrame, stores: DataFrame) -> DataFram
     return joined.drop("sku_original", "sku_prod")
 
 
-def priced_lines(tx: DataFrame, products: DataFrame, combine: bool | None = None) -> DataFrame:
-    """What the daily totals need: resolved SKU, dollar price, quantity, discount units and number of lines.
+def priced_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """What the daily totals need: ``aggregate.combined_lines`` with resolved SKU and dollar price.
 
-    Small products are broadcast, and the lines go on as they are. When the
-    products have to be shuffled (``combine``, by default told by their size), the
-    lines are first added up per (store, product, SKU, day), so that a product with
-    a third of all sales is reduced before it moves. All sums are of whole
-    numbers, so both ways give the same totals.
+    A product with a third of all sales is one row per (store, SKU, day) by now,
+    and how the products are joined is left to Spark.
     """
-    if combine is None:
-        combine = not can_broadcast(products)
     product = products.select("product_id", "sku_prod", "usd_price", "size", "color")
-    shares = money.whole_units(F.coalesce("discount_pct", F.lit(0.0)), money.SHARE_UNITS)
-    keys = ["store_id", "product_id", "sku_original", "tx_date"]
-    lines = tx.select(
-        *keys, F.col("quantity").cast("bigint").alias("quantity"), shares.alias("shares"), F.lit(1).cast("bigint").alias("n")
-    )
-    if combine:
-        lines = lines.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in ("quantity", "shares", "n")])
     return clean.resolve_sku(lines.join(product, "product_id", "left")).select(
         "store_id", "sku", "tx_date", "product_id", "quantity", "usd_price", "shares", "n"
     )
@@ -279,17 +266,6 @@ def product_stock(products: DataFrame, inventory: DataFrame) -> DataFrame:
     )
 
 
-def store_sku_grid(skus: DataFrame, stores: DataFrame) -> DataFrame:
-    """Every SKU in every store.
-
-    The store ids are aggregated into one small array (a chain has thousands of
-    stores at most) that each SKU row unfolds in place, so the SKUs are not
-    shuffled.
-    """
-    ids = stores.agg(F.sort_array(F.collect_set("store_id")).alias("value")).scalar()
-    return skus.select("sku").distinct().select(F.explode(ids).alias("store_id"), "sku")
-
-
 def shortage_alerts(forecasts: DataFrame, stock: DataFrame) -> DataFrame:
     """Next week's forecast against stock per (store, SKU), with the missing amount where it exceeds stock.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import text
 from shelfwise.operators.rows import dedup
+from shelfwise.session import stage
 
 # The features a model row needs, and what stands in for a missing one.
 REQUIRED_FEATURES = (
@@ -134,6 +135,7 @@ def nearest_dates(requests: DataFrame, daily: DataFrame) -> DataFrame:
     """
     keys = ["store_id", "sku"]
     wanted = requests.select(*keys, F.col("date").alias("_day")).where(F.col("_day").isNotNull()).distinct()
+    wanted = stage(wanted, "wanted")
     known = daily.select(*keys, F.col("date").alias("_day"), F.col("date").alias("_known"))
     known = known.join(wanted.select(*keys).distinct(), keys, "left_semi")
     merged = wanted.withColumn("_known", F.lit(None).cast("date")).unionByName(known)
@@ -229,12 +231,12 @@ def features_for(requests: DataFrame, daily: DataFrame, products: DataFrame, sto
     requests = requests.withColumnsRenamed(asked)
     features = [name for name in REQUIRED_FEATURES if name in daily.columns]
 
-    keys = requests.select(*own).where(F.col("date").isNotNull()).distinct()
-    near = default_features(nearest_features(keys, daily).select(*own, "feature_date", *features))
-    near = near.select(*own, F.struct("feature_date", *features).alias("_near"))
+    keys = stage(requests.select(*own).distinct(), "keys")
+    found = stage(nearest_features(keys, daily).select(*own, "feature_date", *features), "near")
+    near = default_features(found).select(*own, F.struct("feature_date", *features).alias("_near"))
     df = requests.join(near, own, "left")
 
-    needy = df.where(F.col("_near").isNull()).select("store_id", "sku").distinct()
+    needy = keys.join(found.select(*own), own, "left_anti").select("store_id", "sku").distinct()
     static = static_features(needy, products, stores).where("static_found").drop("static_found")
     static_names = [name for name in static.columns if name not in ("store_id", "sku")]
     static = static.select("store_id", "sku", F.struct(*static_names).alias("_static"))

@@ -57,10 +57,6 @@ MODEL_INPUTS = (
 )
 
 
-# Dictionary columns with at most this many values are broadcast.
-BROADCAST_VALUES = 100_000
-
-
 def calendar_features(df: DataFrame, col: str = "date") -> DataFrame:
     return df.withColumns(date_parts(F.col(col)))
 
@@ -91,17 +87,12 @@ def fit_encoder(df: DataFrame, cols: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
 def encode(df: DataFrame, encoder: DataFrame, cols: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
     """Add ``<column>_code`` for each text column; a value the dictionary lacks gets code 0.
 
-    The dictionary's columns differ in size: a few countries, but millions of
-    SKUs. The values per column are counted first, and only columns counted as
-    small are broadcast; a large one is joined as Spark sees fit.
+    The dictionary is a staged table, so Spark knows its size and picks the joins.
     """
-    counts = encoder.groupBy("column").count().collect()
-    small = {r["column"] for r in counts if r["count"] <= BROADCAST_VALUES}
     for name in cols:
         codes = encoder.where(F.col("column") == name).select(
             F.col("value").alias("_value"), F.col("code").alias(code_name(name))
         )
-        codes = F.broadcast(codes) if name in small else codes
         df = df.join(codes, _as_text(name) == F.col("_value"), "left").drop("_value")
     return df.fillna(0, [code_name(name) for name in cols])
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfwise.session import stage
 
@@ -60,12 +58,7 @@ def ranked(df: DataFrame, order: Sequence[str], position: str, within: Sequence[
 
 
 def accept_in_order(
-    lines: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    quantity: str,
-    available: str,
-    salt_buckets: int = 4096,
+    lines: DataFrame, keys: Sequence[str], order: Sequence[str], quantity: str, available: str
 ) -> DataFrame:
     """Serve lines in order while supply lasts; a line that asks for too much is refused, later ones may still fit.
 
@@ -73,64 +66,48 @@ def accept_in_order(
     lines). ``available`` is the supply of the key, repeated on each line; it
     must be the same on all lines of a key, and ``order`` must be total.
 
-    The rule is sequential, but most of it is not: supply only shrinks, so once a
-    line asking for q is refused every later line asking for at least q is
-    refused too. Hence of the lines asking for q only the first available / q
-    can be served. That filter is exact and leaves at most about
-    available * ln(available) lines per key, however many lines the key has. It
-    runs in two rounds, the first within salts (hashes of the order columns), so one
-    hot key is spread over many tasks; a key with few lines is not affected. Only the survivors are walked in order, streaming, with the
-    remaining supply as the only state.
+    The rule is sequential, but in rounds it is running sums: all lines before the
+    first one that does not fit are served, and as supply only shrinks, every
+    later line that asks for more than is left is refused at once. What remains
+    asks for less than the refused line did, so there are at most as many rounds
+    as different quantities. The sums run over range-partitioned chunks, so a hot
+    key is no single task.
     """
-    columns = lines.columns
-    asked = F.col(quantity)
+    columns, asked, place = lines.columns, F.col(quantity), F.struct(*order)
     possible = F.coalesce((asked > 0) & (asked <= F.col(available)), F.lit(False))
-    most = F.floor(F.col(available) / asked)
-
-    numbered = lines.withColumn("_possible", possible)
-    hopeless = numbered.where(~F.col("_possible"))
-    hopeful = numbered.where(F.col("_possible"))
-    salted = hopeful.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salt_buckets)))
-    local = W.partitionBy(*keys, quantity, "_salt").orderBy(*order)
-    salted = salted.withColumn("_n", F.row_number().over(local))
-    late = salted.where(F.col("_n") > most)
-    whole = W.partitionBy(*keys, quantity).orderBy(*order)
-    early = salted.where(F.col("_n") <= most).withColumn("_n", F.row_number().over(whole))
-    late_too = early.where(F.col("_n") > most)
-    walk = early.where(F.col("_n") <= most).select(*columns)
-
-    refused = (
-        hopeless.select(*columns)
-        .unionByName(late.select(*columns))
-        .unionByName(late_too.select(*columns))
-        .withColumns({"accepted": F.lit(False), "left": F.lit(None).cast("bigint")})
-    )
-    schema = T.StructType(
-        [*walk.schema.fields, T.StructField("accepted", T.BooleanType()), T.StructField("left", T.LongType())]
-    )
-    places = [columns.index(name) for name in keys]
-    asked_at, supply_at = columns.index(quantity), columns.index(available)
-
-    def serve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, left = None, 0
-        for batch in batches:
-            accepted, remaining = [], []
-            key_rows = zip(*[batch.iloc[:, i] for i in places])
-            for key, want, supply in zip(key_rows, batch.iloc[:, asked_at], batch.iloc[:, supply_at]):
-                if key != current:
-                    current, left = key, int(supply)
-                fits = want <= left
-                if fits:
-                    left -= int(want)
-                accepted.append(bool(fits))
-                remaining.append(left if fits else None)
-            out = batch.copy()
-            out["accepted"] = accepted
-            out["left"] = pd.array(remaining, dtype="Int64")
-            yield out
-
-    served = walk.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(serve, schema)
-    return served.unionByName(refused)
+    decided = [_decided(lines.where(~possible), columns, accepted=False)]
+    waiting = lines.where(possible).withColumn("_left", F.col(available).cast("bigint"))
+    inside = chunk_window(keys, order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    while True:
+        cut = chunked(waiting, keys, order)
+        if cut.isEmpty():
+            break
+        sizes = cut.groupBy(*keys, "_chunk").agg(F.sum(quantity).alias("_total"))
+        before = sizes.select(
+            *keys, "_chunk", F.coalesce(F.sum("_total").over(earlier_chunks(keys)), F.lit(0)).alias("_before")
+        )
+        running = cut.withColumn("_inside", F.sum(quantity).over(inside)).join(before, [*keys, "_chunk"])
+        summed = running.select(*columns, "_left", (F.col("_before") + F.col("_inside")).cast("bigint").alias("_sum"))
+        summed = stage(summed, "served")
+        stops = summed.where(F.col("_sum") > F.col("_left")).groupBy(*keys)
+        stops = stops.agg(F.min(place).alias("_stop"), F.min("_sum").alias("_over"), F.min_by(quantity, place).alias("_asked"))
+        marked = summed.join(stops, list(keys), "left")
+        first = F.col("_stop").isNull() | (place < F.col("_stop"))
+        served = marked.where(first).withColumn("_after", F.col("_left") - F.col("_sum"))
+        decided.append(_decided(served, columns, accepted=True))
+        # The running sum just before the stopping line is what was served.
+        rest = marked.where(~first).withColumn("_left", F.col("_left") - F.col("_over") + F.col("_asked"))
+        decided.append(_decided(rest.where(asked > F.col("_left")), columns, accepted=False))
+        waiting = rest.where(asked <= F.col("_left")).select(*columns, "_left")
+    out = decided[0]
+    for part in decided[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _decided(lines: DataFrame, columns: Sequence[str], accepted: bool) -> DataFrame:
+    left = F.col("_after") if accepted else F.lit(None)
+    return lines.select(*columns, F.lit(accepted).alias("accepted"), left.cast("bigint").alias("left"))
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

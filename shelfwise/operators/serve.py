@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import text
+from shelfwise.operators.rows import ranked
 from shelfwise.session import count_of
 
 Order = Sequence[str | Column]
@@ -31,16 +32,25 @@ def listing(
     limit: int = 100,
     offset: int = 0,
     with_total: bool = False,
+    with_page_total: bool = False,
 ) -> DataFrame:
     """Filtered rows in order, one page of them.
 
-    Spark keeps limit + offset rows per task, so the table is never sorted as a
-    whole. ``with_total`` adds the number of all matching rows, counted by a
-    separate aggregate rather than by a window over everything.
+    The first page keeps ``limit`` rows per task. A later page numbers the rows by
+    a range-partitioned sort and takes its positions, so no task gathers the rows
+    before it. ``with_total`` adds the number of all matching rows, counted by a
+    separate aggregate; ``with_page_total`` the number of rows on the page.
     """
     found = df.where(equals(filters or {}))
-    page = found.orderBy(*order) if order else found
-    page = (page.offset(offset) if offset else page).limit(limit)
+    if offset and order:
+        places = ranked(found, order, "_position")
+        inside = (F.col("_position") >= offset) & (F.col("_position") < offset + limit)
+        page = places.where(inside).orderBy("_position").drop("_position")
+    else:
+        page = found.orderBy(*order) if order else found
+        page = (page.offset(offset) if offset else page).limit(limit)
+    if with_page_total:
+        page = page.withColumn("page_total", count_of(page))
     return page.withColumn("total", count_of(found)) if with_total else page
 
 
@@ -70,31 +80,24 @@ def search(df: DataFrame, cols: Sequence[str], query: str, literal: bool = True)
     return df.where(hit)
 
 
-def scope_rows(df: DataFrame, role: str, store_id: int | None, perms: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Rows one user may see: all with 'view_all_stores', the own store's with 'view_own_store', else none."""
-    granted = perms.get(role, ())
-    if "view_all_stores" in granted:
-        return df
-    if "view_own_store" in granted and store_id is not None:
-        return df.where(F.col("store_id") == store_id)
-    return df.where(F.lit(False))
+# The permissions that show every store, and the one that shows the own store.
+EVERY_STORE = ("view_all_stores",)
+OWN_STORE = "view_own_store"
 
 
-def scope_for_users(df: DataFrame, users: DataFrame, perms: DataFrame) -> DataFrame:
-    """(username, row) for many users at once; ``perms`` holds (role, permission).
+def scope_rows(
+    df: DataFrame, role: str, store_id: int | None, perms: Mapping[str, Sequence[str]], full: Sequence[str] = EVERY_STORE
+) -> DataFrame:
+    """Rows one user may see: all with one of the permissions ``full``, the own store's with 'view_own_store', else none.
 
-    Users who may see everything and users of one store are two equality joins:
-    on the store, and on a user list that is unfolded in place per row.
+    The store list, for one, is also open to 'manage_users'.
     """
-    granted = users.join(
-        perms.groupBy("role").agg(F.collect_set("permission").alias("granted")), "role", "left"
-    ).select("username", "store_id", "granted")
-    everything = F.coalesce(F.array_contains("granted", "view_all_stores"), F.lit(False))
-    own = F.coalesce(F.array_contains("granted", "view_own_store"), F.lit(False)) & ~everything
-    wide = granted.where(everything).agg(F.sort_array(F.collect_set("username")).alias("value")).scalar()
-    all_rows = df.select(F.explode(wide).alias("username"), *df.columns)
-    own_rows = granted.where(own).select("username", "store_id").join(df, "store_id").select("username", *df.columns)
-    return all_rows.unionByName(own_rows)
+    granted = perms.get(role, ())
+    if any(name in granted for name in full):
+        return df
+    if OWN_STORE in granted and store_id is not None:
+        return df.where(F.col("store_id") == store_id)
+    return df.where(F.lit(False))
 
 
 def discounts_for(discounts: DataFrame, store: int) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -26,33 +25,37 @@ def product_table(products: DataFrame, staging: Stage = stage) -> DataFrame:
     return staging(cleaned.select("product_id", "sku_prod", "usd_price", *aggregate.ATTRIBUTES), "products")
 
 
+def sold_lines(tables: Mapping[str, DataFrame], staging: Stage = stage) -> DataFrame:
+    """The combined lines of the cleaned transactions, staged: the only scan of the transactions."""
+    return staging(aggregate.combined_lines(clean.clean_transactions(tables["transactions"])), "lines")
+
+
 def daily_sales(tables: Mapping[str, DataFrame], staging: Stage = stage) -> DataFrame:
     """Sales per (store, SKU, day), without attributes."""
-    tx = clean.clean_transactions(tables["transactions"])
-    return aggregate.daily_totals(dims.priced_lines(tx, product_table(tables["products"], staging)))
+    products = product_table(tables["products"], staging)
+    return aggregate.daily_totals(dims.priced_lines(sold_lines(tables, staging), products))
 
 
 def flagship_features(tables: Mapping[str, DataFrame], extended: bool = False, staging: Stage = stage) -> DataFrame:
     """The feature table.
 
-    Transaction rows are not shuffled before the first aggregation when the
-    products are small enough to be broadcast, and that aggregation combines on
-    the map side, so a best-seller is reduced where it is read. The daily table is
-    staged because two branches need it: the per-series figures and the windows,
-    which share the partitioning on (store, SKU) with the join between them.
-    Products and stores are staged too: Spark then sees their true size, and joins
-    the wide table with them without shuffling it on a skewed id if they are small.
+    The transactions are read once and added up on the map side, so a best-seller
+    is reduced where it is read; daily totals and store variety both start from
+    those lines. The daily table is staged because two branches need it: the
+    per-series figures and the windows, which share the partitioning on (store,
+    SKU) with the join between them. Products and stores are staged too: Spark
+    then sees their true size, and joins the wide table with them without
+    shuffling it on a skewed id if they are small.
     """
-    tx = clean.clean_transactions(tables["transactions"])
+    lines = sold_lines(tables, staging)
     products = product_table(tables["products"], staging)
-    store_rows = clean.clean_stores(tables["stores"], tx).select(
-        "store_id", *aggregate.PLACES, "num_distinct_products", "num_distinct_skus"
+    stores = staging(
+        clean.clean_stores(tables["stores"], lines).select(
+            "store_id", *aggregate.PLACES, "num_distinct_products", "num_distinct_skus"
+        ),
+        "stores",
     )
-    # The two scans of the transactions do not depend on each other, so they share the cluster.
-    with ThreadPoolExecutor(max_workers=1) as pool:
-        stores_job = pool.submit(staging, store_rows, "stores")
-        daily = staging(aggregate.daily_totals(dims.priced_lines(tx, products)), "daily")
-        stores = stores_job.result()
+    daily = staging(aggregate.daily_totals(dims.priced_lines(lines, products)), "daily")
     # One join on the product id brings both its coverage and its attributes.
     sold = features.product_coverage(daily).join(
         products.select("product_id", *aggregate.ATTRIBUTES), "product_id", "left"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,19 +33,16 @@ def build_session(app: str = "shelfwise", master: str | None = None, **conf: obj
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for staged tables: ``spark.checkpoint.dir`` as the cluster names it.
+    """This run's shared folder for staged tables, below ``spark.checkpoint.dir`` as the cluster names it.
 
-    Only a local session may fall back to a temporary folder; on a cluster a
-    machine-local path would be lost with its machine.
+    There is no fallback: a machine-local path would be lost with its machine. All
+    tables of a run lie in one folder named after the application, which can
+    expire as a whole.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="shelfwise-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame, label: str = "frame") -> DataFrame:
@@ -62,22 +58,6 @@ def stage(df: DataFrame, label: str = "frame") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def can_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own estimate for ``df`` is below the session's broadcast threshold.
-
-    Reliable for plain scans, such as staged tables; anything unknown counts as large.
-    """
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return False
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower()
-    factors = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    number = limit.rstrip("b")
-    factor = factors.get(number[-1:], 1)
-    return size <= int(number.rstrip("kmg")) * factor
-
-
 def one_value(df: DataFrame, value: Column) -> Column:
     """An aggregate of ``df`` as a scalar subquery, usable in any other frame's expressions."""
     return df.agg(value.alias("value")).scalar()

@@ -6,30 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.calendar import week_key
-from shelfwise.functions.text import MULTI_COLOR, SINGLE_COLOR, STORE_LABEL, numbered_label, PRODUCT_LABEL
+from shelfwise.functions.text import PRODUCT_LABEL, STORE_LABEL, numbered_label
 from shelfwise.operators.rows import dedup
 from shelfwise.schemas import FEED
 
-# Labels the feed's flat tables carry, and the category templates, in this order.
-CATEGORY_TEMPLATES = ("Clothing", "Shoes", "Accessories")
-SUB_CATEGORY_TEMPLATES = {
-    "Clothing": ("T-Shirts", "Jeans", "Jackets", "Dresses", "Sweaters"),
-    "Shoes": ("Sneakers", "Boots", "Sandals"),
-    "Accessories": ("Bags", "Hats", "Belts", "Watches"),
-}
-
-
 def read_feed(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """``multi_line`` reads one JSON array per file; large feeds should be JSON lines, which split."""
     return spark.read.schema(FEED).option("multiLine", multi_line).json(path)
 
 
-def _template(product_id, options):
-    """The option at position id modulo the number of options."""
-    picks = F.array(*[F.lit(x) for x in options])
-    return F.element_at(picks, (F.pmod(product_id, F.lit(len(options))) + 1).cast("int"))
-
-
 def flatten_feed(df: DataFrame, order: str = "date") -> dict[str, DataFrame]:
     """Stores, products, SKUs, forecasts and transactions of the feed.
 
@@ -63,32 +48,19 @@ def flatten_feed(df: DataFrame, order: str = "date") -> dict[str, DataFrame]:
 
     sku = F.concat(F.lit("SKU-"), F.col("id"))
     product_name = numbered_label(PRODUCT_LABEL, F.col("id"), "SKU-")
-    category = _template(F.col("product_id"), CATEGORY_TEMPLATES)
-    sub_category = F
-    for name, options in SUB_CATEGORY_TEMPLATES.items():
-        sub_category = sub_category.when(F.col("category") == name, _template(F.col("product_id"), options))
     products = (
         items.where(F.col("product_id").isNotNull())
         .groupBy("product_id")
         .agg(F.min("id").alias("id"))
-        .withColumn("category", category)
-        .withColumn("sub_category", sub_category)
-        .select(
-            "product_id",
-            product_name.alias("product_name"),
-            "category",
-            "sub_category",
-            F.when(F.col("product_id") % 2 == 0, SINGLE_COLOR).otherwise(MULTI_COLOR).alias("color_type"),
-        )
+        .select("product_id", product_name.alias("product_name"))
     )
-    skus = items.select(sku.alias("sku"), "product_id", F.lit("M").alias("size"), F.lit("Mixed").alias("color")).distinct()
+    skus = items.select(sku.alias("sku"), "product_id").distinct()
 
     year, week = week_key(F.to_date("date"), "iso")
     forecasts = items.select(
         "store_id",
         sku.alias("sku"),
         product_name.alias("product_name"),
-        category.alias("category"),
         year.alias("year"),
         week.alias("week"),
         F.round("weekly_forecast").cast("int").alias("predicted_quantity"),

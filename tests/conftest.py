@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -18,6 +19,7 @@ def spark():
         spark__sql__shuffle__partitions=4,
         spark__driver__memory="4g",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="tests-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -44,12 +44,35 @@ def test_lazy_and_staged_features_agree(base, table):
     assert lazy.exceptAll(table).count() == 0 and table.exceptAll(lazy).count() == 0
 
 
-def test_combined_lines_give_the_same_totals(base):
-    tx, products = clean.clean_transactions(base["transactions"]), clean.clean_products(base["products"])
-    plain, combined = (
-        aggregate.daily_totals(dims.priced_lines(tx, products, combine)) for combine in (False, True)
-    )
-    assert plain.exceptAll(combined).count() == 0 and combined.exceptAll(plain).count() == 0
+def test_transactions_are_scanned_once(spark, base):
+    path = folder(spark)
+    for name in ("transactions", "products", "stores"):
+        base[name].write.parquet(f"{path}/{name}")
+    scans = []
+
+    def spy(df, label):
+        scans.append(any("/transactions/" in file for file in df.inputFiles()))
+        return stage(df, label)
+
+    tables = {name: spark.read.parquet(f"{path}/{name}") for name in ("transactions", "products", "stores")}
+    out = jobs.flagship_features(tables, staging=spy)
+    assert sum(scans) == 1 and not any("/transactions/" in file for file in out.inputFiles())
+
+
+def test_an_empty_feature_table_is_an_error(table):
+    assert io.require_snapshot(table).select("date").distinct().count() == 1
+    with pytest.raises(ValueError, match="no valid dates"):
+        io.require_snapshot(table.where("false"))
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    given = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", "")
+    try:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_dir(spark)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", given)
 
 
 def test_model_beats_nothing_and_survives_saving(spark, table, fitted):
@@ -145,20 +168,37 @@ def test_duplicate_sales_arrive_once(spark):
     at = dt.datetime(2024, 1, 1, 10)
     write_slices(spark, src, [[("x", at), ("y", at)], [("x", at), ("z", at)]], kind)
     tx = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(src)
-    query = sales.dedup_stream(tx).writeStream.option("checkpointLocation", f"{out}/c").trigger(availableNow=True)
-    query.format("parquet").start(f"{out}/rows").awaitTermination()
+    sales.dedup_stream(tx, f"{out}/rows", f"{out}/c").awaitTermination()
     assert sorted(r.transaction_id for r in spark.read.parquet(f"{out}/rows").collect()) == ["x", "y", "z"]
 
 
-def test_daily_stream_adds_up_across_batches(spark):
+@pytest.mark.parametrize("fold_every", [100, 2])
+def test_late_sales_are_never_lost(spark, fold_every):
     src, out = folder(spark), folder(spark)
-    kind = "store_id INT, sku STRING, quantity INT, transaction_date TIMESTAMP"
-    day = dt.datetime(2024, 1, 1, 10)
-    write_slices(spark, src, [[(1, "a", 2, day)], [(1, "a", 3, day), (1, "a", -1, day)]], kind)
-    tx = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(src)
-    sales.daily_stream(tx, f"{out}/days", f"{out}/c").awaitTermination()
-    got = sales.latest_days(spark.read.parquet(f"{out}/days")).collect()
-    assert [(r.sku, r.date, r.qty) for r in got] == [("a", dt.date(2024, 1, 1), 5.0)]
+    kind = "transaction_id STRING, store_id INT, sku STRING, quantity INT, transaction_date TIMESTAMP"
+    rows = [[(name, 1, "a", 2, dt.datetime(2024, 1, day))] for name, day in (("a", 1), ("b", 10), ("c", 11), ("z", 2))]
+    write_slices(spark, src, [*rows, [("z", 1, "a", 2, dt.datetime(2024, 1, 2)), ("y", 1, "a", -1, dt.datetime(2024, 1, 2))]], kind)
+
+    def tx():
+        return spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(src)
+
+    sales.dedup_stream(tx(), f"{out}/rows", f"{out}/c1").awaitTermination()
+    assert sorted(r.transaction_id for r in spark.read.parquet(f"{out}/rows").collect()) == ["a", "b", "c", "y", "z"]
+    sales.daily_stream(tx(), f"{out}/days", f"{out}/c2", refreshed=f"{out}/new", fold_every=fold_every).awaitTermination()
+    got = sales.days(spark, f"{out}/days").orderBy("date").collect()
+    assert [(r.date.day, r.qty) for r in got] == [(1, 2.0), (2, 4.0), (10, 2.0), (11, 2.0)]
+    fresh = sales.newest_features(spark.read.parquet(f"{out}/new")).orderBy("date").collect()
+    assert [(r.date.day, r.lag_1d, r.total_lifespan) for r in fresh] == [(1, 0.0, 0.0), (2, 2.0, 1.0), (10, 4.0, 9.0), (11, 2.0, 10.0)]
+
+
+def test_late_audit_events_count(spark):
+    src, out = folder(spark), folder(spark)
+    kind = "timestamp TIMESTAMP, action STRING"
+    hours = [dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 3, 10), dt.datetime(2024, 1, 1, 10, 30)]
+    write_slices(spark, src, [[(hour, "USER_LOGIN")] for hour in hours], kind)
+    log = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(src)
+    audit.audit_stream(log, f"{out}/n", f"{out}/c").awaitTermination()
+    assert sorted(r.n for r in audit.counts(spark, f"{out}/n").collect()) == [1, 2]
 
 
 def test_refresh_touches_only_late_series(spark):

@@ -137,18 +137,25 @@ def apply_overrides(spark, sf):
     return checked.groupBy("store_id", "sku", "date", "total_discount_avg").agg(F.count(F.lit(1)).alias("n"))
 
 
-@case(
-    "default_features",
-    ("products",),
-    """SELECT product_id, coalesce(size, 'M') AS size, coalesce(color, 'BLACK') AS color, coalesce(price, 50.0) AS avg_usd_price,
-              'miss' AS profile FROM products
-       UNION ALL SELECT product_id, coalesce(size, '40'), coalesce(color, 'BLACK'), coalesce(price, 51.3), 'null' FROM products""",
-)
+DEFAULT_ROWS = "SELECT product_id, size, color, price AS avg_usd_price FROM products"
+
+
+def _filled(profile):
+    """The defaults of a profile in SQL, laid under the columns that the rows have."""
+    given = ("product_id", "size", "color", "avg_usd_price")
+    text = {name: f"'{value}'" if isinstance(value, str) else f"{value}::{'DOUBLE' if isinstance(value, float) else 'BIGINT'}" for name, value in lookup.PROFILES[profile].items()}
+    values = [f"coalesce({name}, {text[name]}) AS {name}" if name in given else f"{text[name]} AS {name}" for name in text]
+    return f"SELECT {', '.join(values)}, '{profile}' AS profile FROM ({DEFAULT_ROWS})"
+
+
+@case("default_features", ("products",), f"{_filled('null')} UNION ALL {_filled('miss')}")
 def default_features(spark, sf):
     rows = table(spark, sf, "products").select("product_id", "size", "color", F.col("price").alias("avg_usd_price"))
-    # The labels tell which constants were left out.
-    filled = lookup.default_features(rows, "null").withColumn("profile", F.lit("miss"))
-    return filled.unionByName(lookup.default_features(rows, "miss").withColumn("profile", F.lit("null")))
+    kinds = {str: "string", float: "double", int: "bigint"}
+    absent = {name: F.lit(None).cast(kinds[type(value)]) for name, value in lookup.NULL_DEFAULTS.items() if name not in rows.columns}
+    rows = rows.withColumns(absent)
+    parts = [lookup.default_features(rows, profile).withColumn("profile", F.lit(profile)) for profile in lookup.PROFILES]
+    return parts[0].unionByName(parts[1])
 
 
 # --- training steps ---
@@ -338,7 +345,7 @@ def monthly_forecast(spark, sf):
     return forecast.monthly_forecast(horizon(spark, sf))
 
 
-# --- with fitted models: no SQL counterpart ---
+# --- with fitted models: keys, outcomes and the formula of a prediction are checked, not its value ---
 
 SAVED: dict[tuple[str, str, str], str] = {}
 
@@ -347,8 +354,7 @@ def fitted(spark, sf, kind="tweedie"):
     """The model over a folder's whole tables, trained once per session, saved and loaded again."""
     key = (spark.sparkContext.applicationId, sf, kind)
     if key not in SAVED:
-        options = {} if kind == "tweedie" else {"trees": 12}
-        trained, _ = training.train_demand(training_rows(spark, sf), kind, **options)
+        trained, _ = training.train_demand(training_rows(spark, sf), kind)
         path = f"{scratch_dir(spark)}/model-{uuid.uuid4().hex}"
         model.save_model(trained, path)
         SAVED[key] = path
@@ -362,32 +368,103 @@ def train_demand(spark, sf):
 
 @case("train_demand_trees")
 def train_demand_trees(spark, sf):
-    return training.train_demand(training_rows(spark, sf), "gbt", trees=12)[1]
+    return training.train_demand(training_rows(spark, sf), "gbt")[1]
 
 
-@case("score")
+@case("score", ("training",), "SELECT store_id, sku, date, y AS qty, TRUE AS follows_formula FROM training", TRAINING)
 def score(spark, sf):
+    """Every prediction is the exponential of the sum of the model's scaled and weighted inputs."""
+    demand = fitted(spark, sf)
     rows = model.calendar_features(training_rows(spark, sf))
-    return model.score(fitted(spark, sf), rows).select("store_id", "sku", "date", "qty", "prediction")
+    scored = model.score(demand, model.encode(rows, demand.encoder).drop("prediction"), encoded=True)
+    scaling = {r["feature"]: (r["mean"], r["scale"]) for r in demand.scaler.collect()}
+    total = F.lit(float(demand.regression.intercept))
+    for name, weight in zip(demand.inputs, demand.regression.coefficients.toArray().tolist()):
+        mean, spread = scaling[name]
+        total = total + F.lit(weight) * (F.col(name).cast("double") - F.lit(mean)) / F.lit(spread)
+    codes = model.encode(scored, demand.encoder)
+    close = F.abs(F.col("prediction") - F.exp(total)) <= 1e-6 * F.exp(total)
+    return codes.select("store_id", "sku", "date", "qty", close.alias("follows_formula"))
 
 
-@case("run_forecast")
+@case(
+    "run_forecast",
+    ("horizon",),
+    """SELECT DISTINCT CAST(store_id AS VARCHAR) AS store_id, sku, CAST(product_id AS VARCHAR) AS product_id,
+              CAST(year(day) AS INTEGER) AS forecast_year, CAST(week(day) AS INTEGER) AS forecast_week,
+              'lgbm_v1' AS model_version, TRUE AS valid FROM horizon""",
+    HORIZON,
+)
 def run_forecast(spark, sf):
-    return forecast.run_forecast(feature_table(spark, sf), fitted(spark, sf), START)
+    rows = forecast.run_forecast(feature_table(spark, sf), fitted(spark, sf), START)
+    return rows.withColumn("valid", F.col("predicted_quantity") >= 0).drop("predicted_quantity")
+
+
+REQUESTED = """(SELECT *, coalesce(TRY_CAST(replace(upper(store_id), 'STORE_', '') AS INTEGER), 1) AS store, TRY_CAST(date AS DATE) AS day,
+                       TRY_CAST(date AS DATE) IS NULL AS bad_date, coalesce(total_discount_avg < 0 OR total_discount_avg > 1, FALSE) AS bad_discount
+                FROM requests)"""
+OUTCOMES = f"""
+    SELECT r.store_id, r.sku, strftime(r.day, '%Y-%m-%d') AS date, source, f.product_id, r.day,
+           CASE source WHEN 'missing' THEN 'features not found' WHEN 'static' THEN 'missing features: '
+                || CASE WHEN f.product_id IS NULL THEN 'product_id, size, color, ' ELSE '' END
+                || 'total_lifespan, s_total_lifespan, sku_store_coverage, product_store_coverage, s_days_active, '
+                || 's_selling_days_count, s_sales_velocity, s2_days_active, s2_selling_days_count, s2_sales_velocity, '
+                || CASE WHEN f.product_id IS NULL THEN 'avg_usd_price, ' ELSE '' END
+                || CASE WHEN r.total_discount_avg IS NULL THEN 'total_discount_avg, ' ELSE '' END
+                || 'lag_1d, lag_7d, rolling_mean_7d, rolling_std_7d, '
+                || CASE WHEN f.product_id IS NULL THEN 'category, sub_category, color_type, ' ELSE '' END
+                || 'lag_14d, lag_28d, rolling_mean_14d, rolling_mean_30d, target_encoding_store_sku' END AS message
+    FROM {REQUESTED} r JOIN ({FOUND}) f ON r.store = f.store_id AND r.sku = f.sku AND r.day = f.date
+    WHERE NOT bad_date AND NOT bad_discount"""
+INVALID = f"""
+    SELECT store_id, sku, date, 'invalid fields: ' || CASE WHEN bad_date AND bad_discount THEN 'date, total_discount_avg'
+                                                           WHEN bad_date THEN 'date' ELSE 'total_discount_avg' END AS message
+    FROM {REQUESTED} WHERE bad_date OR bad_discount"""
+
+
+def outcomes(spark, sf, defaults=None):
+    t = tables(spark, sf, "requests", "products", "stores")
+    rows = forecast.score_batch(
+        t["requests"], feature_table(spark, sf), t["products"], t["stores"], fitted(spark, sf), defaults
+    )
+    sound = F.when(F.col("status") == "success", F.col("predicted_quantity") >= 0).otherwise(F.col("predicted_quantity") == 0)
+    return rows.groupBy("store_id", "sku", "date", "status", "message").agg(F.count(F.lit(1)).alias("n"), F.every(sound).alias("sound"))
 
 
-@case("score_batch")
+@case(
+    "score_batch",
+    ("requests", "asked", "nearest", "static"),
+    f"""SELECT store_id, sku, date, status, message, count(*) AS n, TRUE AS sound FROM (
+          SELECT store_id, sku, date, CASE WHEN message IS NULL THEN 'success' ELSE 'error' END AS status, message FROM ({OUTCOMES})
+          UNION ALL SELECT store_id, sku, date, 'error', message FROM ({INVALID})) GROUP BY 1, 2, 3, 4, 5""",
+    STEPS,
+)
 def score_batch(spark, sf):
-    t = tables(spark, sf, "requests", "products", "stores")
-    return forecast.score_batch(t["requests"], feature_table(spark, sf), t["products"], t["stores"], fitted(spark, sf))
+    return outcomes(spark, sf)
+
+
+@case(
+    "score_batch_defaults",
+    ("requests", "asked", "nearest", "static"),
+    f"""SELECT store_id, sku, date, status, message, count(*) AS n, TRUE AS sound FROM (
+          SELECT store_id, sku, date, 'success' AS status, NULL AS message FROM ({OUTCOMES})
+          UNION ALL SELECT store_id, sku, date, 'error', message FROM ({INVALID})) GROUP BY 1, 2, 3, 4, 5""",
+    STEPS,
+)
+def score_batch_defaults(spark, sf):
+    return outcomes(spark, sf, "miss")
 
 
-@case("forecast_requests")
+@case(
+    "forecast_requests",
+    ("requests", "asked", "nearest", "static"),
+    f"""SELECT DISTINCT store_id, sku, product_id, CAST(year(day) AS INTEGER) AS forecast_year,
+              CAST(week(day) AS INTEGER) AS forecast_week, TRUE AS valid FROM ({OUTCOMES}) WHERE message IS NULL""",
+    STEPS,
+)
 def forecast_requests(spark, sf):
     t = tables(spark, sf, "requests", "products", "stores")
     out = forecast.forecast_requests(
         t["requests"], feature_table(spark, sf), t["products"], t["stores"], fitted(spark, sf)
     )
-    return out["weekly"]
-
-
+    return out["weekly"].withColumn("valid", F.col("predicted_quantity") >= 0).drop("predicted_quantity")

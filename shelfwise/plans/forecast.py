@@ -72,14 +72,15 @@ def run_forecast(
 
 
 def prepared_requests(
-    requests: DataFrame, daily: DataFrame, products: DataFrame, stores: DataFrame
+    requests: DataFrame, daily: DataFrame, products: DataFrame, stores: DataFrame, defaults: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Requests with features, overrides and status; and those whose own fields are invalid.
 
     ``requests`` holds store_id as text, sku, date as ISO text and optionally
     feature overrides such as total_discount_avg. The result is staged: the scored
     and the failed requests are both taken from it, and scoring starts from plain
-    columns.
+    columns. With ``defaults`` (a profile of ``lookup.PROFILES``) the found features
+    are laid over that profile's values, so that every valid request has features.
     """
     if "total_discount_avg" not in requests.columns:
         requests = requests.withColumn("total_discount_avg", F.lit(None).cast("double"))
@@ -88,14 +89,25 @@ def prepared_requests(
         {"store_id": parse_store_id(F.col("store_raw")), "date": F.try_to_date("date", "yyyy-M-d")}
     )
     found = lookup.apply_overrides(lookup.features_for(good, daily, products, stores))
+    if defaults:
+        known = F.when(F.col("source") == "missing", "default").otherwise(F.col("source"))
+        found = lookup.default_features(found, defaults).withColumn("source", known)
     return stage(lookup.validate_features(found), "requests"), bad
 
 
 def score_batch(
-    requests: DataFrame, daily: DataFrame, products: DataFrame, stores: DataFrame, fitted: model.DemandModel
+    requests: DataFrame,
+    daily: DataFrame,
+    products: DataFrame,
+    stores: DataFrame,
+    fitted: model.DemandModel,
+    defaults: str | None = None,
 ) -> DataFrame:
-    """One outcome per request: status, predicted quantity (0.0 on errors) and message."""
-    checked, bad = prepared_requests(requests, daily, products, stores)
+    """One outcome per request: status, predicted quantity (0.0 on errors) and message.
+
+    Requests without features are errors, or with ``defaults="miss"`` scored on the predictor's defaults.
+    """
+    checked, bad = prepared_requests(requests, daily, products, stores, defaults)
     own = [F.col("store_raw").alias("store_id"), F.col("sku"), F.date_format("date", "yyyy-MM-dd").alias("date")]
     outcome = ["store_id", "sku", "date", "status", "predicted_quantity", "message"]
     scored = model.score(fitted, model.calendar_features(checked.where(F.col("status") == "ok")))

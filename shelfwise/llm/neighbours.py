@@ -183,16 +183,21 @@ def _rerank(k: int):
             query, found, score = [], [], []
             for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)]):
                 first = low + int(np.count_nonzero(~asks[low:high]))
+                # Sorted by id and vector, equal rows follow each other; one is enough.
+                known, there = ids[low:first], vectors[low:first]
+                new = np.ones(len(known), bool)
+                new[1:] = (known[1:] != known[:-1]) | (there[1:] != there[:-1]).any(1)
+                known, there = known[new], there[new]
                 for q in range(first, high):
-                    far = np.sqrt(((vectors[low:first] - vectors[q]) ** 2).sum(1))
-                    far[ids[low:first] == ids[q]] = np.inf
+                    far = np.sqrt(((there - vectors[q]) ** 2).sum(1))
+                    far[known == ids[q]] = np.inf
                     near = np.arange(len(far))
                     if len(far) > k:
                         near = np.flatnonzero(far <= np.partition(far, k - 1)[k - 1])
-                    near = near[np.lexsort((ids[low:first][near], far[near]))][:k]
+                    near = near[np.lexsort((known[near], far[near]))][:k]
                     near = near[far[near] < np.inf]
                     query.append(np.full(len(near), ids[q]))
-                    found.append(ids[low:first][near])
+                    found.append(known[near])
                     score.append(far[near])
             if query:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(query)), pa.array(np.concatenate(found)), pa.array(np.concatenate(score))], ["query_id", "id", "score"])
@@ -221,7 +226,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, settings: Setting
     there = filed.join(F.broadcast(blocks), "part").select("part", block, F.lit(False).alias("asks"), "id", "vector")
     asking = rows.where(is_query).mapInArrow(_route(router, settings.probes), schema).join(F.broadcast(blocks), "part")
     asking = asking.select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "id", "vector")
-    dealt = there.union(asking).repartition("part", "block").sortWithinPartitions("part", "block", "asks", "id")
+    dealt = there.union(asking).repartition("part", "block").sortWithinPartitions("part", "block", "asks", "id", "vector")
     best = dealt.mapInArrow(_rerank(k), "query_id long, id long, score double").distinct()
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")

@@ -13,7 +13,7 @@ from shelfwise.session import stage
 
 __all__ = ["fresh", "keyed", "stage", "byte_view", "cuts", "bounded_sample", "crc_mod", "table"]
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def fresh(df: DataFrame, *bases: str) -> list[str]:

@@ -23,7 +23,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-@functools.lru_cache(maxsize=1)
+@functools.lru_cache(maxsize=2)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(size, _BASE, np.uint64), np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
@@ -41,12 +41,20 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(first)
     stops = np.flatnonzero(np.concatenate((~inside | first, [True])))
     ends = stops[np.searchsorted(stops, starts + 1)]
-    up, down = _powers(1 << max(16, int(len(data)).bit_length()))
+    up, down = _powers(1 << max(16, int(len(data) - 1).bit_length()))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + _U(1)) * up[: len(data)])))
     hashes = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
     return hashes, np.searchsorted(offsets, starts, "right") - 1
 
 
+def by_row_and_hash(row: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The order by row, then hash: a fast sort of the hashes, then a stable one of few row numbers."""
+    if len(row) and row.max() >= 1 << 16:
+        return np.lexsort((hashes, row))
+    order = np.argsort(hashes)
+    return order[np.argsort(row.astype(np.uint16)[order], kind="stable")]
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct shingles sorted by row and hash, number per row).
 
@@ -70,7 +78,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     sums += per_row[short].astype(np.uint64) * _U(0x94D049BB133111EB)
     hashes = mixed(np.concatenate((whole[fits], sums)))
     of = np.concatenate((row[:longest][fits], short)).astype(np.int32)
-    order = np.lexsort((hashes, of))
+    order = by_row_and_hash(of, hashes)
     hashes, of = hashes[order], of[order]
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])

@@ -41,6 +41,8 @@ ORDERS = 3
 CELL_BITS = 22
 CELL_BLOCKS = 64
 QUERIES = 2048
+PAIRS = 1 << 18
+PLACE_BITS = 32
 _U = np.uint64
 _ORDER_FACTORS = (_U(1), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB))
 
@@ -142,7 +144,9 @@ def _rare_tokens(levels: np.ndarray, percent: int):
                     fresh[i] = True
             n = counts[filled]
             row = np.repeat(np.arange(len(filled)), n)
-            order = np.lexsort((hashes, levels[hashes >> _U(64 - CELL_BITS)], row))
+            # Shingles come in order of row and hash, so row, level and place make one sortable number.
+            level = levels[hashes >> _U(64 - CELL_BITS)].astype(np.int64)
+            order = np.sort((row << 8 | level) << PLACE_BITS | np.arange(len(hashes))) & ((1 << PLACE_BITS) - 1)
             at = np.arange(len(hashes)) - np.repeat(starts, n)
             keep = (at < (n - _least(n, percent) + 1)[row]) & fresh[row]
             yield pa.RecordBatch.from_arrays([_signed(hashes[order][keep]), _signed(names[row[keep]]), pa.array(n[row[keep]], pa.int32()), pa.array(at[keep], pa.int32())], ["token", "node", "n", "at"])
@@ -244,20 +248,36 @@ def _meetings(percent: int):
                 order = low + np.argsort(place, kind="stable")
                 place = np.sort(place)
                 after = np.searchsorted(place, place, "right")
-                for i in np.flatnonzero(after < high - low):
-                    q, others = order[i], order[after[i] :]
-                    most = np.minimum(n[q] - at[q], n[others] - at[others])
-                    fits = ((100 + percent) * most >= percent * (n[q] + n[others])) & (100 * np.minimum(n[q], n[others]) >= percent * np.maximum(n[q], n[others]))
-                    groups = np.unique(group[others[fits]])
-                    asked.append(np.full(len(groups), node[q]))
-                    given.append(groups)
+                # As many queries at a time as keep the comparison with the list small.
+                step = max(1, PAIRS // (high - low))
+                for first in range(0, int(np.searchsorted(after, high - low)), step):
+                    some = slice(first, first + step)
+                    q, other = order[some, None], order[None, :]
+                    most = np.minimum(n[q] - at[q], n[other] - at[other])
+                    fits = (np.arange(high - low) >= after[some, None]) & ((100 + percent) * most >= percent * (n[q] + n[other]))
+                    fits &= 100 * np.minimum(n[q], n[other]) >= percent * np.maximum(n[q], n[other])
+                    i, j = np.nonzero(fits)
+                    asked.append(node[order[some][i]])
+                    given.append(group[order[j]])
+                    if sum(map(len, asked)) > PAIRS:
+                        yield _pairs(asked, given)
+                        asked, given = [], []
             if asked:
-                pairs = np.unique(np.stack([np.concatenate(asked), np.concatenate(given)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], ["node", "group"])
+                yield _pairs(asked, given)
 
     return run
 
 
+def _pairs(asked: list[np.ndarray], given: list[np.ndarray]) -> pa.RecordBatch:
+    """The different pairs, once each."""
+    a, b = np.concatenate(asked), np.concatenate(given)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return pa.RecordBatch.from_arrays([pa.array(a[new], pa.int64()), pa.array(b[new], pa.int64())], ["node", "group"])
+
+
 def _open(percent: int):
     """For ``mapInArrow`` over (group, part, asks, node, tokens), members first: links of queries with the group."""
 

@@ -99,9 +99,9 @@ def subwords(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def train(texts: list[str], labels: np.ndarray, settings: Settings = Settings()) -> Model:
-    """Fit embeddings and softmax together by full-batch gradient descent; with one label only, the score is that label's share."""
+    """Fit embeddings and softmax together by full-batch gradient descent; with one label only, the score is that label's share, and without any a third."""
     if not len(texts) or labels.min() == labels.max():
-        share = (labels.sum() + 0.5) / (len(labels) + 1)
+        share = (labels.sum() + 0.5) / (len(labels) + 1.5)
         return Model(np.zeros(1 << BITS, np.float32), float(np.log(share / (1 - share))))
     rng = np.random.default_rng(settings.seed)
     doc, gram, value = _weights(texts, settings.least)

@@ -61,7 +61,10 @@ def test_jaccard_components_equal_brute_force(spark):
     assert got == components(list(enumerate(texts)))
 
 
-def test_jaccard_in_small_parts(spark, monkeypatch):
+@pytest.mark.parametrize("short", [1, 128])
+def test_jaccard_in_small_parts(spark, monkeypatch, short):
+    monkeypatch.setattr(simjoin, "SHORT", short)
+    monkeypatch.setattr(simjoin, "PAIRS", 50)
     monkeypatch.setattr(simjoin, "PART", 3)
     monkeypatch.setattr(simjoin, "QUERIES", 2)
     rng = random.Random(5)

@@ -124,7 +124,7 @@ def test_one_label_gives_its_share(spark):
     rows = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "id BIGINT, text STRING, label INT")
     model = toxicity.fit(rows)
     assert model.logits(["whatever", None])[0] < 0
-    assert toxicity.fit(rows.limit(0)).logits([""])[0] == 0
+    assert toxicity.fit(rows.limit(0)).logits([""])[0] < 0
 
 
 def test_training_reads_no_held_out_label(spark):

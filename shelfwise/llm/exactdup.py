@@ -4,8 +4,9 @@ Texts are equal when they are identical after A-Z are set in lower case; a null
 text counts as empty. Rows whose length nobody shares leave first, then rows
 whose length and prefix hash nobody shares; only the rest are compared by the
 hash of their whole text. Every step is a count per key, combined on the map
-side, and a join back on that key, which Spark splits where one key holds a
-large part of the rows; no group is gathered anywhere.
+side; the shared keys filter the rows in place, and only the last step joins, on
+the full hash, where Spark splits a key that holds a large part of the rows. No
+group is gathered anywhere.
 """
 
 from __future__ import annotations
@@ -37,6 +38,17 @@ def _shared(rows: DataFrame, *key: str) -> DataFrame:
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
 
 
+def _suspects(keys: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` whose length, and then length and prefix hash, other rows may share.
+
+    The shared keys pass through a bit table, so no row moves; what it lets
+    through too much, the full hash sorts out.
+    """
+    lengths = stage(_shared(keys, "size"), "lengths")
+    heads = stage(_shared(keys.where(passes(lengths, "size")), "size", "head"), "heads")
+    return rows.where(passes(heads, "size", "head"))
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: str = "shared") -> DataFrame:
     """(id_col, keep_id, group_size, kept, digest) of the rows of ``docs``.
 
@@ -49,21 +61,19 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     size, head, digest = _keys(F.col("text"))
     rows = keyed(docs, id=id_col, text=text_col)
+    number = F.monotonically_increasing_id().alias("row")
     if digests == "all":
-        base = stage(rows.select("id", F.monotonically_increasing_id().alias("row"), size, head, digest), "keys")
-        heads = _shared(base.join(_shared(base, "size"), "size", "left_semi"), "size", "head")
-        full = base.join(heads, ["size", "head"], "left_semi")
+        base = stage(rows.select("id", number, size, head, digest), "keys")
+        full = _suspects(base, base)
     else:
         narrow = stage(rows.select(size, head), "keys")
-        heads = stage(_shared(narrow.join(_shared(narrow, "size"), "size", "left_semi"), "size", "head"), "heads")
-        some = rows.select("id", "text", size, head).where(passes(heads, "size", "head"))
-        full = some.join(heads, ["size", "head"], "left_semi").select("id", F.monotonically_increasing_id().alias("row"), "size", "head", digest)
-        full = stage(full, "full")
+        full = stage(_suspects(narrow, rows.select("id", "text", size, head)).select("id", number, "size", "head", digest), "full")
     groups = (
         full.groupBy("size", "digest")
         .agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("id", "row")).alias("keep"))
         .where("group_size > 1")
     )
+    groups = stage(groups, "groups")
     if digests == "all":
         found = base.join(groups, ["size", "digest"], "left")
         alone = F.col("group_size").isNull()

@@ -34,7 +34,7 @@ from shelfwise.llm.shingles import _powers, mixed
 
 GRAM = 64
 HOT = 2000
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 CHUNK = 1 << 20
 PLACE_BITS = 24
 _U = np.uint64
@@ -75,7 +75,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
         return nothing, nothing.astype(np.uint64), nothing.astype(np.uint64), nothing, nothing
     edge = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
     first, last, at = starts[edge], starts[np.append(edge[1:], len(starts)) - 1], anchor[edge]
-    up, down = _powers(1 << max(16, int(len(data)).bit_length()))
+    up, down = _powers(1 << max(16, int(len(data) - 1).bit_length()))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + _U(1)) * up[: len(data)])))
     body = (sums[last + length] - sums[first]) * down[first]
     shape = (last - first).astype(np.uint64) << _U(32) | (at - first).astype(np.uint64)
@@ -128,7 +128,7 @@ def _cut_texts(length: int):
 
 def _rank(values: np.ndarray) -> np.ndarray:
     """Dense ranks of ``values``."""
-    order = np.argsort(values, kind="stable")
+    order = np.argsort(values)
     ordered = values[order]
     rank = np.empty(len(values), np.int64)
     rank[order] = np.cumsum(np.concatenate(([0], ordered[1:] != ordered[:-1])))
@@ -149,7 +149,7 @@ class SuffixOrder:
             size *= 2
             self.levels.append((size, level.astype(np.int32)))
         rest = np.minimum(chosen + length - size, len(level) - 1)
-        self.suffixes = chosen[np.lexsort((level[rest], level[chosen]))]
+        self.suffixes = chosen[np.argsort(level[chosen] << 32 | level[rest])]
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Common prefix of the suffixes at ``a`` and ``b``, at most ``length`` bytes."""

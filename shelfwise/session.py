@@ -21,6 +21,9 @@ SETTINGS = {
 }
 
 
+OWN_SCRATCH = "shelfwise.scratch.dir"
+
+
 def build_session(app: str = "shelfwise", master: str | None = None, **conf: object) -> SparkSession:
     """A session with the settings the library relies on; keyword names use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -35,11 +38,13 @@ def build_session(app: str = "shelfwise", master: str | None = None, **conf: obj
 def scratch_dir(spark: SparkSession) -> str:
     """This run's shared folder for staged tables, below ``spark.checkpoint.dir`` as the cluster names it.
 
-    There is no fallback: a machine-local path would be lost with its machine. All
-    tables of a run lie in one folder named after the application, which can
-    expire as a whole.
+    There is no silent fallback: a machine-local path would be lost with its
+    machine. Where the cluster names no folder, a caller can name one as
+    ``shelfwise.scratch.dir``, which Spark lets a running session set. All tables
+    of a run lie in one folder named after the application, which can expire as a
+    whole.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_SCRATCH, None)
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"

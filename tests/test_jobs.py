@@ -2,6 +2,7 @@
 
 import datetime as dt
 import uuid
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import aggregate, clean, dims, features, lookup, model
 from shelfwise.plans import forecast, training
 from shelfwise.plans import features as jobs
-from shelfwise.session import scratch_dir, stage
+from shelfwise.session import OWN_SCRATCH, scratch_dir, stage
 from shelfwise.sources import tables as io
 from shelfwise.streaming import audit, sales
 from shelfwise.streaming import stock as stocks
@@ -65,14 +66,12 @@ def test_an_empty_feature_table_is_an_error(table):
         io.require_snapshot(table.where("false"))
 
 
-def test_scratch_needs_a_shared_folder(spark):
-    given = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", "")
-    try:
-        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-            scratch_dir(spark)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", given)
+def test_scratch_needs_a_named_folder():
+    app = SimpleNamespace(applicationId="app-1")
+    for key in ("spark.checkpoint.dir", OWN_SCRATCH):
+        assert scratch_dir(SimpleNamespace(conf={key: "/shared/"}, sparkContext=app)) == "/shared/app-1"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(SimpleNamespace(conf={}))
 
 
 def test_model_beats_nothing_and_survives_saving(spark, table, fitted):

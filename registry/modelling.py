@@ -246,11 +246,14 @@ def encode(spark, sf):
     ("featured", "products"),
     """SELECT p.product_id, p.sub_category, coalesce(d.code, 0) AS sub_category_code FROM products p LEFT JOIN (
          SELECT sub_category, row_number() OVER (ORDER BY sub_category) - 1 AS code
-         FROM (SELECT DISTINCT sub_category FROM products WHERE category = 'PROMO' AND color = 'red')) d USING (sub_category)""",
+         FROM (SELECT DISTINCT CASE WHEN category = 'PROMO' AND color = 'red' THEN sub_category ELSE '?' || sub_category END AS sub_category
+               FROM products)) d USING (sub_category)""",
 )
 def encode_unseen(spark, sf):
     products = table(spark, sf, "products").select("product_id", "sub_category", "category", "color")
-    known = products.where((F.col("category") == "PROMO") & (F.col("color") == "red"))
+    # Most values reach the dictionary under another name, so products meet values it lacks.
+    seen = F.coalesce((F.col("category") == "PROMO") & (F.col("color") == "red"), F.lit(False))
+    known = products.withColumn("sub_category", F.when(seen, F.col("sub_category")).otherwise(F.concat(F.lit("?"), "sub_category")))
     out = model.encode(products, model.fit_encoder(known, ["sub_category"]), ["sub_category"])
     return out.select("product_id", "sub_category", "sub_category_code")
 

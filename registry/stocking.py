@@ -225,7 +225,7 @@ def reconcile_stock(spark, sf):
 @case(
     "append_missing",
     ("customers",),
-    """SELECT customer_id, name, segment FROM customers WHERE segment <> 'BUILDING'
+    """SELECT CASE WHEN segment = 'BUILDING' THEN -customer_id ELSE customer_id END AS customer_id, name, segment FROM customers
        UNION ALL
        SELECT customer_id, min(name || '!'), min(segment) FROM (
          SELECT customer_id, coalesce(name, '?') AS name, segment FROM customers WHERE segment = 'BUILDING'
@@ -235,7 +235,9 @@ def append_missing(spark, sf):
     customers = table(spark, sf, "customers").select("customer_id", "name", "segment")
     local = customers.withColumn("name", F.concat(F.coalesce("name", F.lit("?")), F.lit("!")))
     copies = customers.select("customer_id", F.lit("zz!").alias("name"), F.lit("zz").alias("segment"))
-    base = customers.where(F.col("segment") != "BUILDING")
+    # One segment has other ids in the base table, so that its local rows are missing there.
+    other = F.when(F.col("segment") == "BUILDING", -F.col("customer_id")).otherwise(F.col("customer_id"))
+    base = customers.withColumn("customer_id", other)
     return dims.append_missing(base, local.unionByName(copies), ["customer_id"])
 
 
@@ -266,30 +268,33 @@ def product_stock(spark, sf):
 
 # --- forecast tables ---
 
-NEW_WEEKS = """SELECT CAST(store_id AS VARCHAR) AS store_id, sku, '7' AS product_id, year AS forecast_year, week AS forecast_week,
-                      CAST(sold AS DOUBLE) AS predicted_quantity, 'b' AS model_version FROM weekly_sales WHERE week BETWEEN 10 AND 25"""
-OLD_WEEKS = """SELECT CAST(store_id AS VARCHAR) AS store_id, sku, '3' AS product_id, year AS forecast_year, week AS forecast_week,
+# Old and new rows meet only in part: the years of the others lie apart.
+NEW_WEEKS = """SELECT CAST(store_id AS VARCHAR) AS store_id, sku, '7' AS product_id,
+                      CAST(CASE WHEN week BETWEEN 10 AND 25 THEN year ELSE year + 200 END AS INTEGER) AS forecast_year, week AS forecast_week,
+                      CAST(sold AS DOUBLE) AS predicted_quantity, 'b' AS model_version FROM weekly_sales"""
+OLD_WEEKS = """SELECT CAST(store_id AS VARCHAR) AS store_id, sku, '3' AS product_id,
+                      CAST(CASE WHEN sold < 60 THEN year ELSE year + 100 END AS INTEGER) AS forecast_year, week AS forecast_week,
                       CAST(sold + 1 AS DOUBLE) AS predicted_quantity, CASE WHEN week % 3 = 0 THEN 'a' ELSE 'b' END AS model_version
-               FROM weekly_sales WHERE sold < 60"""
+               FROM weekly_sales"""
 
 
 def _forecasts(spark, sf):
     sales = table(spark, sf, "weekly_sales")
 
-    def rows(df, product, quantity, version):
-        return df.select(
+    def rows(apart, years, product, quantity, version):
+        return sales.select(
             F.col("store_id").cast("string").alias("store_id"),
             "sku",
             F.lit(product).alias("product_id"),
-            F.col("year").alias("forecast_year"),
+            F.when(apart, F.col("year") + years).otherwise(F.col("year")).cast("int").alias("forecast_year"),
             F.col("week").alias("forecast_week"),
             quantity.cast("double").alias("predicted_quantity"),
             version.alias("model_version"),
         )
 
     old_version = F.when(F.col("week") % 3 == 0, "a").otherwise("b")
-    old = rows(sales.where(F.col("sold") < 60), "3", F.col("sold") + 1, old_version)
-    new = rows(sales.where(F.col("week").between(10, 25)), "7", F.col("sold"), F.lit("b"))
+    old = rows(F.col("sold") >= 60, 100, "3", F.col("sold") + 1, old_version)
+    new = rows(~F.col("week").between(10, 25), 200, "7", F.col("sold"), F.lit("b"))
     return old, new
 
 
@@ -389,12 +394,15 @@ def forecast_timeline(spark, sf):
          SELECT f.store_id, f.sku, coalesce(arg_min(predicted_quantity, year * 100 + week) FILTER (WHERE actual_quantity IS NULL),
                                             arg_min(predicted_quantity, year * 100 + week)) AS forecast,
                 coalesce(min(s.quantity), 0) AS quantity
-         FROM forecasts f LEFT JOIN (SELECT store_id, sku, quantity - 100 AS quantity FROM stock WHERE quantity >= 120) s
+         FROM forecasts f LEFT JOIN (SELECT store_id, CASE WHEN product_id % 5 = 0 THEN sku || '?' ELSE sku END AS sku,
+                                            quantity // 20 AS quantity FROM stock) s
               ON f.store_id = s.store_id AND f.sku = s.sku GROUP BY 1, 2) WHERE forecast > quantity""",
 )
 def shortage_alerts(spark, sf):
     t = tables(spark, sf, "forecasts", "stock")
-    stock = t["stock"].where(F.col("quantity") >= 120).withColumn("quantity", F.col("quantity") - 100)
+    # A fifth of the stock has other SKUs, so that their series have none.
+    other = F.when(F.col("product_id") % 5 == 0, F.concat("sku", F.lit("?"))).otherwise(F.col("sku"))
+    stock = t["stock"].withColumns({"sku": other, "quantity": F.floor(F.col("quantity") / 20)})
     return dims.shortage_alerts(t["forecasts"], stock)
 
 

@@ -85,9 +85,8 @@ def clean_products(products: DataFrame, rates: Mapping[str, float] = money.USD_R
             "usd_price": money.to_usd(F.col("price"), currency, rates),
         }
     )
-    if "sku" in df.columns:
-        return df.withColumnRenamed("sku", "sku_prod")
-    return df.withColumn("sku_prod", F.lit(None).cast("string"))
+    sku = F.col("sku") if "sku" in df.columns else F.lit(None).cast("string")
+    return df.withColumn("sku_prod", sku).drop("sku")
 
 
 def clean_stores(stores: DataFrame, tx: DataFrame) -> DataFrame:

@@ -326,6 +326,7 @@ def list_transactions(spark, sf):
         from_date="1996-01-01",
         to_date="1999-12-31",
         limit=1000,
+        ties=["line_id"],
     )
     return out.select(*TX_COLUMNS.split(", "))
 

@@ -123,8 +123,9 @@ def list_transactions(
     inclusive_day: bool = False,
     limit: int = 100,
     offset: int = 0,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Transactions, newest first, the greater id first on ties.
+    """Transactions, newest first, the greater id first on ties; ``ties`` are further columns, where ids repeat.
 
     ``to_date`` cuts at midnight of that day unless ``inclusive_day`` is set.
     """
@@ -137,7 +138,7 @@ def list_transactions(
     if to_date is not None:
         end = F.lit(str(to_date)).cast(kind)
         found = found.where(day < end + F.expr("INTERVAL 1 DAY") if inclusive_day else day <= end)
-    order = [day.desc_nulls_first(), F.col("transaction_id").desc()]
+    order = [day.desc_nulls_first(), *(F.col(name).desc() for name in ("transaction_id", *ties))]
     return listing(found, order=order, limit=limit, offset=offset)
 
 

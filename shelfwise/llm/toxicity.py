@@ -1,7 +1,7 @@
 """Toxicity scores: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
 A word is a run of letters or digits, set in lower case. Its subwords are the
-character 4- to 6-grams of the word between boundary marks, hashed into a fixed
+character 4- and 6-grams of the word between boundary marks, hashed into a fixed
 table of embedding rows. A word is the mean of its subwords, a document the mean
 of its words, and a linear softmax over that mean gives the probability. A
 misspelling shares most subwords with the word it hides, so it lands nearby
@@ -23,21 +23,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import bounded_sample, keyed
+from shelfwise.llm.common import bounded_sample, cuts, keyed, small_batches, tidy
 
 BITS = 18
-SIZES = (4, 5, 6)
+SIZES = (4, 6)
 #: Words without weight that every document is taken to have besides its own, so that one odd word of a short text does not decide.
 SMOOTH = 8
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
+ENTRIES = 1 << 20
 _LETTER = np.array([chr(i).isalnum() for i in range(1 << 16)])
 
 
 @dataclass(frozen=True)
 class Settings:
-    toxic_rows: int = 1000  # labelled documents that training may read, by label
-    clean_rows: int = 2500
-    chars: int = 6000  # characters of a training document, from a place its hash picks
+    toxic_rows: int = 1600  # labelled documents that training may read, by label
+    clean_rows: int = 6000
+    chars: int = 3000  # characters of a training document, from a place its hash picks
     least: int = 5  # training documents a subword must occur in
     dim: int = 2
     epochs: int = 40
@@ -111,11 +112,11 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings = Settings())
     count = np.bincount(gram, minlength=1 << BITS)
     used = np.flatnonzero(count)
     gram = (np.cumsum(count > 0, dtype=np.int32) - 1)[gram]
-    by_gram = np.argsort(gram, kind="stable").astype(np.int32)
-    gram_starts = np.concatenate(([0], np.cumsum(count[used])[:-1]))
-    doc_of, value_of = doc[by_gram], value[by_gram][:, None]
-    del by_gram, count
     filled, doc_starts = np.unique(doc, return_index=True)
+    by_gram = np.argsort(gram, kind="stable").astype(np.int32)
+    doc_of, value_of = doc[by_gram], value[by_gram]
+    doc_starts, gram_starts = np.append(doc_starts, len(gram)), np.concatenate(([0], np.cumsum(count[used])))
+    del by_gram, doc, count
     embed, slow = np.zeros((len(used), dim), np.float32), np.zeros((len(used), dim), np.float32)
     soft = rng.normal(0, 1, (dim, 2)).astype(np.float32)
     soft -= soft.mean(1, keepdims=True)
@@ -123,15 +124,18 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings = Settings())
     slow_soft, bias = np.zeros_like(soft), np.zeros(2, np.float32)
     target = np.eye(2, dtype=np.float32)[labels.astype(int)]
     # A row's step follows its curvature, so that a subword of many documents and one of few learn alike.
-    rate = (settings.rate / (np.add.reduceat(value_of[:, 0] ** 2, gram_starts) + settings.ridge))[:, None].astype(np.float32)
+    rate = (settings.rate / (np.add.reduceat(value_of**2, gram_starts[:-1]) + settings.ridge)).astype(np.float32)
     for _ in range(settings.epochs):
         bag = np.zeros((n, dim), np.float32)
-        bag[filled] = np.add.reduceat(embed[gram] * value[:, None], doc_starts)
+        for k in range(dim):
+            bag[filled, k] = _sums(embed[:, k], gram, value, doc_starts)
         z = bag @ soft + bias
         p = np.exp(z - z.max(1, keepdims=True))
         error = p / p.sum(1, keepdims=True) - target
         back = error @ soft.T
-        slow = 0.9 * slow - rate * (np.add.reduceat(back[doc_of] * value_of, gram_starts) + 0.02 * settings.ridge * embed)
+        for k in range(dim):
+            pull = _sums(back[:, k], doc_of, value_of, gram_starts)
+            slow[:, k] = 0.9 * slow[:, k] - rate * (pull + 0.02 * settings.ridge * embed[:, k])
         slow_soft = 0.9 * slow_soft - 0.002 * (bag.T @ error) / (n * (np.square(bag).mean() + 1e-6))
         embed += slow
         soft += slow_soft
@@ -141,20 +145,31 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings = Settings())
     return Model(weight, float(bias[1] - bias[0]))
 
 
+def _sums(of: np.ndarray, index: np.ndarray, weight: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of ``of[index] * weight`` between ``bounds``, a part at a time, which keeps the driver's memory low."""
+    out = np.empty(len(bounds) - 1, np.float32)
+    for low, high in cuts(bounds, ENTRIES):
+        a, b = bounds[low], bounds[high]
+        out[low:high] = np.add.reduceat(of[index[a:b]] * weight[a:b], bounds[low:high] - a)
+    return out
+
+
 def _weights(texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, table row, share of the document's mean) of the subwords that occur in ``least`` documents or more."""
-    keys, values = [np.zeros(0, np.int64)], [np.zeros(0)]
+    docs, grams, values = [np.zeros(0, np.int16)], [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
     for low, high in _blocks(texts):
         gram, word, doc = subwords(texts[low:high])
         if len(gram):
             size, words, of = np.bincount(word, minlength=len(doc)), np.bincount(doc, minlength=high - low), doc[word]
             pair, at = np.unique((of + low).astype(np.int64) << BITS | gram, return_inverse=True)
-            keys.append(pair)
+            docs.append((pair >> BITS).astype(np.int16 if len(texts) < 1 << 15 else np.int32))
+            grams.append((pair & ((1 << BITS) - 1)).astype(np.int32))
             values.append(np.bincount(at, 1.0 / (size[word] * (words[of] + SMOOTH)), len(pair)).astype(np.float32))
-    doc = np.concatenate([(key >> BITS).astype(np.int32) for key in keys])
-    gram = np.concatenate([(key & ((1 << BITS) - 1)).astype(np.int32) for key in keys])
-    kept = np.bincount(gram, minlength=1 << BITS)[gram] >= min(least, max(1, len(texts) // 20))
-    return doc[kept], gram[kept], np.concatenate(values)[kept]
+    common = sum(np.bincount(gram, minlength=1 << BITS) for gram in grams) >= min(least, max(1, len(texts) // 20))
+    for k, gram in enumerate(grams):
+        kept = common[gram]
+        docs[k], grams[k], values[k] = docs[k][kept], gram[kept], values[k][kept]
+    return np.concatenate(docs), np.concatenate(grams), np.concatenate(values)
 
 
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
@@ -171,6 +186,7 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
 def score_texts(model: Model):
     """The function for ``mapInArrow`` over (id, text): (id, score)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(1)
@@ -205,8 +221,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, use: Column, id_col: str =
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, whose score is below ``threshold``; rows pass through one map, nothing is shuffled."""
-    place = docs.columns.index(text_col)
+    place = small_batches(docs).columns.index(text_col)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, len(batch), 512):

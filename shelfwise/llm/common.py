@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,9 +13,12 @@ from pyspark.sql import functions as F
 
 from shelfwise.session import stage
 
-__all__ = ["fresh", "keyed", "stage", "byte_view", "cuts", "bounded_sample", "crc_mod", "table"]
+__all__ = ["fresh", "keyed", "stage", "tidy", "byte_view", "cuts", "bounded_sample", "crc_mod", "table"]
 
 PIECE_BYTES = 1 << 20
+#: Rows that Spark hands to Python at a time, at most; texts can be long.
+BATCH_ROWS = 2000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def fresh(df: DataFrame, *bases: str) -> list[str]:
@@ -29,8 +34,33 @@ def fresh(df: DataFrame, *bases: str) -> list[str]:
     return out
 
 
+def tidy(run: Callable) -> Callable:
+    """A function for ``mapInArrow`` that gives freed memory back when its task ends, so that idle workers hold little."""
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return tidied
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands no more than ``BATCH_ROWS`` rows at a time to Python."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_SETTING, "10000")) <= BATCH_ROWS:
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return df
+
+
 def keyed(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named input columns, under internal names: ``keyed(df, id="doc_id", text="text")``."""
+    small_batches(df)
     return df.select(*(F.col(f"`{source}`").alias(name) for name, source in columns.items()))
 
 

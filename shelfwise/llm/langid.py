@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import bounded_sample, byte_view, cuts, keyed
+from shelfwise.llm.common import bounded_sample, byte_view, cuts, keyed, tidy
 
 UNIT = 16
 BLOCK = 8 << 20
@@ -209,6 +209,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     rows = keyed(docs, id=id_col, text=text_col)
     kind = rows.schema["id"].dataType.simpleString()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = byte_view(batch.column(1))

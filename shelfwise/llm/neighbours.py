@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import group_starts, keyed, stage, whole_groups
+from shelfwise.llm.common import group_starts, keyed, stage, tidy, whole_groups
 
 BLOCK = 4096
 
@@ -160,6 +160,7 @@ def _route(router: Router, probes: int):
     """For ``mapInArrow`` over (id, vector): a row for each of the ``probes`` most probable parts."""
     probes = min(probes, router.parts)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
@@ -175,6 +176,7 @@ def _route(router: Router, probes: int):
 def _rerank(k: int):
     """For ``mapInArrow`` over (part, block, asks, id, vector), candidates first: each query's best of the block."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ["part", "block"]):
             starts = group_starts(rows, ["part", "block"])

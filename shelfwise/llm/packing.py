@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import fresh, keyed, stage
+from shelfwise.llm.common import fresh, keyed, stage, tidy
 
 RANK_BITS = 44
 
@@ -68,6 +68,7 @@ def token_pieces(
     kind = rows.schema["id"].dataType.simpleString()
     special = tuple(sorted(specials.items()))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, pattern, special)
         for batch in batches:
@@ -168,11 +169,13 @@ def pack(rows: DataFrame, length_col: str = "length", capacity: int = 2048) -> D
     placed each; an empty table gives an empty result. Columns named sequence_id
     or offset in ``rows`` are replaced.
     """
-    rows = rows.drop("sequence_id", "offset")
+    # Staged first, so that a task never needs two Python workers: one that makes the rows and one that numbers them.
+    rows = stage(rows.drop("sequence_id", "offset"), "rows")
     part, rank, before = fresh(rows, "part", "rank", "before")
     place = rows.columns.index(length_col)
     ranked = T.StructType([*rows.schema.fields, T.StructField(part, T.IntegerType()), T.StructField(rank, T.LongType())])
 
+    @tidy
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, me = np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
         for batch in batches:
@@ -202,6 +205,7 @@ def pack(rows: DataFrame, length_col: str = "length", capacity: int = 2048) -> D
     )
     found = T.StructType([*rows.schema.fields, T.StructField("sequence_id", T.LongType())])
 
+    @tidy
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length, ranks = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (place, batch.num_columns - 1))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.bits import passes
-from shelfwise.llm.common import byte_view, cuts, group_starts, keyed, stage, whole_groups
+from shelfwise.llm.common import byte_view, cuts, group_starts, keyed, stage, tidy, whole_groups
 from shelfwise.llm.shingles import _powers, mixed
 
 GRAM = 64
@@ -85,6 +85,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
 def _cut_segments(length: int, kind: str):
     """For ``mapInArrow`` over (id, key, text): the segments of every row, long texts in overlapping pieces."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = byte_view(batch.column(2))
@@ -110,6 +111,7 @@ def _cut_segments(length: int, kind: str):
 def _cut_texts(length: int):
     """For ``mapInArrow`` over (text, wanted): the bytes of every wanted segment."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, len(batch), 64):
@@ -210,6 +212,7 @@ def repeats(bodies: list[bytes], windows: np.ndarray, length: int, keep: str) ->
 def _compare(length: int, keep: str):
     """For ``mapInArrow`` over (anchor, segment, windows, body), sorted by anchor and first occurrence."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ["anchor"]):
             rows = rows.combine_chunks()
@@ -237,6 +240,7 @@ def _compare(length: int, keep: str):
 def _remove(length: int, kind: str):
     """For ``mapInArrow`` over (id, text, ranges): spans and what is left."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 64):

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import keyed
+from shelfwise.llm.common import keyed, tidy
 
 #: Entries a worker keeps of pieces it has counted; the memory is emptied when full.
 REMEMBERED = 300_000
@@ -145,6 +145,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     rows = keyed(docs, id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
     kind = rows.schema["id"].dataType.simpleString()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = counter(path)
         for batch in batches:

@@ -93,14 +93,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The rows of ``docs``, all columns, without those that ``exact_groups`` drops.
 
     Rows go by id and digest, so only repeated rows (equal id and text) need a
-    choice of their own; of those the greatest row stays.
+    choice of their own; of those the greatest row stays. Rows whose id no group
+    has pass in place; only the others are moved and hashed again.
     """
     gone, digest_of, once = fresh(docs, "gone", "digest", "row")
     groups = stage(exact_groups(docs, id_col, text_col), "groups")
     drop = groups.groupBy(F.col(id_col).alias(gone), F.col("digest").alias(digest_of)).agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
     drop = stage(drop.where("n > 1 OR NOT stays"), "drop")
-    marked = docs.withColumn(digest_of, _keys(F.col(f"`{text_col}`"))[2])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    known = docs.withColumn(gone, F.col(f"`{id_col}`"))
+    suspect = passes(drop.select(gone), gone)
+    marked = known.where(suspect).drop(gone).withColumn(digest_of, _keys(F.col(f"`{text_col}`"))[2])
     same = marked[id_col].eqNullSafe(drop[gone]) & (marked[digest_of] == drop[digest_of])
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    again = marked.join(drop.where("stays"), same, "left_semi").groupBy(F.col(f"`{id_col}`"), digest_of).agg(F.max(whole).alias(once))
-    return marked.join(drop, same, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(again.select(f"{once}.*"))
+    again = marked.join(drop.where("stays"), same, "left_semi").groupBy(F.col(f"`{id_col}`"), digest_of).agg(F.max(F.struct(*columns)).alias(once))
+    free, single = known.where(~suspect).select(*columns), marked.join(drop, same, "left_anti").select(*columns)
+    return free.unionByName(single).unionByName(again.select(f"{once}.*"))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.bits import passes
-from shelfwise.llm.common import byte_view, cuts, group_starts, keyed, stage, whole_groups
+from shelfwise.llm.common import byte_view, cuts, fresh, group_starts, keyed, stage, tidy, whole_groups
 from shelfwise.llm.shingles import mixed, overlap, shingle_sets
 
 PART = 256
@@ -42,6 +42,7 @@ CELL_BITS = 22
 CELL_BLOCKS = 64
 QUERIES = 2048
 PAIRS = 1 << 18
+SHORT = 128
 PLACE_BITS = 32
 _U = np.uint64
 _ORDER_FACTORS = (_U(1), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB))
@@ -76,6 +77,7 @@ def _set_ids(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 def _read_sets(kind: str):
     """For ``mapInArrow``: the node of every row, and at the end this task's token counts in compressed blocks."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, waiting, kept = np.zeros(1 << CELL_BITS, np.uint32), 0, []
         names = ["id", "n", "node", *(f"order{k}" for k in range(ORDERS)), "block", "counts"]
@@ -103,6 +105,7 @@ def _read_sets(kind: str):
     return run, f"id {kind}, n long, node long, " + ", ".join(f"order{k} long" for k in range(ORDERS)) + ", block int, counts binary"
 
 
+@tidy
 def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums the compressed blocks of equal number, one at a time."""
     block, total = None, None
@@ -131,6 +134,7 @@ def _least(n: np.ndarray | int, percent: int) -> np.ndarray | int:
 def _rare_tokens(levels: np.ndarray, percent: int):
     """For ``mapInArrow``: (token, node, n, at) of the rarest tokens of each set, once per task and set."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, hashes, counts in _blocks(batches):
@@ -154,6 +158,7 @@ def _rare_tokens(levels: np.ndarray, percent: int):
     return run
 
 
+@tidy
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, hashes, counts in _blocks(batches):
         filled, starts, names = _set_ids(hashes, counts)
@@ -178,6 +183,7 @@ def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def _leaders(percent: int):
     """For ``mapInArrow`` over (bucket, part, node, tokens), sorted: the leader of every node of a part."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ["bucket", "part"]):
             starts = group_starts(rows, ["bucket", "part"])
@@ -197,9 +203,12 @@ def _leaders(percent: int):
 
 
 def _shared(nodes: DataFrame, order: str) -> DataFrame:
-    """``nodes`` whose smallest hash in ``order`` another node has too, with the bucket's size."""
+    """``nodes`` whose smallest hash in ``order`` another node has too, with the bucket's size.
+
+    The sizes are staged, so that Spark can split the join where a bucket is hot.
+    """
     sizes = nodes.groupBy(order).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    return nodes.join(sizes, order)
+    return nodes.join(stage(sizes, "sizes"), order)
 
 
 def _group(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -230,33 +239,46 @@ def _meetings(percent: int):
     bound on the token must hold for some member; a pair is given once per block.
     """
 
+    def fits(n, at, q, other):
+        most = np.minimum(n[q] - at[q], n[other] - at[other])
+        near = 100 * np.minimum(n[q], n[other]) >= percent * np.maximum(n[q], n[other])
+        return near & ((100 + percent) * most >= percent * (n[q] + n[other]))
+
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ["token"]):
             starts = group_starts(rows, ["token"])
             ends = np.append(starts[1:], rows.num_rows)
             of, group, node = (rows.column(c).to_numpy() for c in ("class", "group", "node"))
             n, at = (rows.column(c).to_numpy().astype(np.int64) for c in ("n", "at"))
+            classes_at = group_starts(rows, ["token", "class"])
+            lengths = np.diff(np.append(classes_at, rows.num_rows))
+            size = np.repeat(lengths, lengths)
+            end = np.repeat(ends, ends - starts)
             asked, given = [], []
-            for low, high in zip(starts.tolist(), ends.tolist()):
-                kinds, which, size = np.unique(of[low:high], return_inverse=True, return_counts=True)
-                if len(kinds) < 2:
-                    continue
+            # Short lists, all at once: each row with the one `step` places on.
+            left = np.flatnonzero(np.repeat(ends - starts <= SHORT, ends - starts))
+            for step in range(1, SHORT):
+                left = left[left + step < end[left]]
+                if not len(left):
+                    break
+                i = left[of[left] != of[left + step]]
+                i = i[fits(n, at, i, i + step)]
+                j = i + step
+                asks = (size[i] < size[j]) | ((size[i] == size[j]) & (of[i] < of[j]))
+                asked.append(node[np.where(asks, i, j)])
+                given.append(group[np.where(asks, j, i)])
+            for low, high in zip(starts[ends - starts > SHORT].tolist(), ends[ends - starts > SHORT].tolist()):
                 # Sorted by class size, a class asks all classes after its own.
-                rank = np.empty(len(kinds), np.int64)
-                rank[np.lexsort((kinds, size))] = np.arange(len(kinds))
-                place = rank[which]
-                order = low + np.argsort(place, kind="stable")
-                place = np.sort(place)
+                order = low + np.lexsort((of[low:high], size[low:high]))
+                place = np.cumsum(np.append(False, of[order][1:] != of[order][:-1]))
                 after = np.searchsorted(place, place, "right")
                 # As many queries at a time as keep the comparison with the list small.
-                step = max(1, PAIRS // (high - low))
-                for first in range(0, int(np.searchsorted(after, high - low)), step):
-                    some = slice(first, first + step)
-                    q, other = order[some, None], order[None, :]
-                    most = np.minimum(n[q] - at[q], n[other] - at[other])
-                    fits = (np.arange(high - low) >= after[some, None]) & ((100 + percent) * most >= percent * (n[q] + n[other]))
-                    fits &= 100 * np.minimum(n[q], n[other]) >= percent * np.maximum(n[q], n[other])
-                    i, j = np.nonzero(fits)
+                block = max(1, PAIRS // (high - low))
+                for first in range(0, int(np.searchsorted(after, high - low)), block):
+                    some = slice(first, first + block)
+                    later = np.arange(high - low) >= after[some, None]
+                    i, j = np.nonzero(later & fits(n, at, order[some, None], order[None, :]))
                     asked.append(node[order[some][i]])
                     given.append(group[order[j]])
                     if sum(map(len, asked)) > PAIRS:
@@ -281,6 +303,7 @@ def _pairs(asked: list[np.ndarray], given: list[np.ndarray]) -> pa.RecordBatch:
 def _open(percent: int):
     """For ``mapInArrow`` over (group, part, asks, node, tokens), members first: links of queries with the group."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ["group", "part"]):
             starts = group_starts(rows, ["group", "part"])
@@ -379,6 +402,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"))
 
 
+@tidy
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by token and node: those of tokens that two nodes or more have, each once."""
     for rows in whole_groups(batches, ["token"]):
@@ -397,5 +421,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     Documents without words stay. Rows that repeat an id go or stay together.
     """
     found = components(docs, id_col, text_col, percent)
-    gone = stage(found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    (name,) = fresh(docs, "gone")
+    gone = stage(found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias(name)).distinct(), "gone")
+    # Rows that the bit table lets pass stay where they are; only the others are moved.
+    known, columns = docs.withColumn(name, F.col(f"`{id_col}`")), [F.col(f"`{c}`") for c in docs.columns]
+    suspect = passes(gone, name)
+    left = known.where(suspect).join(gone, name, "left_anti")
+    return known.where(~suspect).select(*columns).unionByName(left.select(*columns))

@@ -1,19 +1,25 @@
 """Secret scans: fixed patterns, and a battery of randomness tests on long tokens.
 
 The base patterns find assignments, access keys and long hexadecimal runs. Every
-other token of 20 characters or more that mixes letters and digits is tested
-against the encoding its characters suggest: chi-squared for a uniform use of
-the alphabet (in eight equal ranges), the runs test on its upper and lower half,
-and the serial correlation of neighbours. Fisher's method combines the three
-into the probability p that random characters look at least as uneven.
-
-Random tokens have an even p, others a small one. So in each class of encoding
-and length the even part above one half says how many random tokens there are,
-and the class accepts tokens from the smallest threshold on at which at most
-``fdr`` of those accepted are expected to be no secrets. Short tokens, on which
-tests have little power, thereby face their own, stricter threshold. Classes
-are counted over the whole table, by different tokens; a class is one of a fixed
-number, so their table is small whatever the data.
+other token of 20 characters or more that holds a letter is tested against the
+encoding its characters suggest: chi-squared for a uniform use of the alphabet
+(in eight equal ranges), the runs test on its upper and lower half, and the
+serial correlation of neighbours. Fisher's method combines the three into the
+probability p that random characters look at least as uneven. Alphabets list
+letters by how common they are in prose, as in that order the ranges and the
+correlation tell words from random letters; to random characters any order is one.
+
+Random tokens have an even p, others a small one. How many of the others reach a
+threshold t is read off the tokens below it: on the scale of -log p they thin out
+towards 0, so no more of them lie in [t, 1] than in [t^2, t), or than half of
+those in [t^3, t), or a third of those in [t^4, t), as far as these ranges do not
+go below 0.0001; what random tokens add to them is taken off. A class of encoding
+and length accepts tokens from the smallest threshold on at which at most ``fdr``
+of those accepted are expected to be no secrets. So one secret far from the others
+is found without any like it, and short tokens, on which tests have little power,
+face their own threshold. A class with few others borrows those of the nearest
+lengths. Classes are counted over the whole table, by different tokens; a class
+is one of a fixed number, so their table is small whatever the data.
 """
 
 from __future__ import annotations
@@ -27,23 +33,32 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{20})(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]++={0,2}"
+TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{20})(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]++={0,2}"
 
-DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+DIGITS = "0123456789"
+#: Letters from common to rare.
+COMMON = "etaoinsrhldcumfpgwybvkxjqz"
 #: Encodings by the characters they use; the first that fits is inferred.
 ENCODINGS = (
+    ("lower_letters", "^[a-z]+$", COMMON),
+    ("upper_letters", "^[A-Z]+$", COMMON.upper()),
+    ("letters", "^[A-Za-z]+$", COMMON + COMMON.upper()),
     ("hex", "^[0-9a-f]+$", DIGITS + "abcdef"),
     ("hex_upper", "^[0-9A-F]+$", DIGITS + "ABCDEF"),
-    ("base32", "^[A-Z2-7]+$", UPPER + "234567"),
-    ("lower", "^[0-9a-z]+$", DIGITS + LOWER),
-    ("upper", "^[0-9A-Z]+$", DIGITS + UPPER),
-    ("base62", "^(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z]+$", DIGITS + UPPER + LOWER),
-    ("base64", "^(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z+/]+$", DIGITS + UPPER + LOWER + "+/"),
-    ("base64url", "^(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z_-]+$", DIGITS + UPPER + LOWER + "-_"),
+    ("base32", "^[A-Z2-7]+$", COMMON.upper() + "234567"),
+    ("lower", "^[0-9a-z]+$", COMMON + DIGITS),
+    ("upper", "^[0-9A-Z]+$", COMMON.upper() + DIGITS),
+    ("base62", "^(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z]+$", COMMON + COMMON.upper() + DIGITS),
+    ("base64", "^(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z+/]+$", COMMON + COMMON.upper() + DIGITS + "+/"),
+    ("base64url", "^(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z_-]+$", COMMON + COMMON.upper() + DIGITS + "-_"),
 )
 RANGES = 8
 LENGTHS = (24, 32, 40, 64, 128)
-BINS = 20
+#: Thresholds that a class may have, and for each how far below it tokens are looked at: to its powers of 1 + these numbers.
+LEVELS = (0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7)
+DEPTHS = {t: [d for d in (1, 2, 3) if t ** (d + 1) >= LEVELS[0] ** 2] for t in LEVELS}
+#: Tokens below all thresholds that a class needs to stand alone.
+ENOUGH = 20
 
 SPANS = "array<struct<start:int,end:int,rank:int>>"
 
@@ -123,17 +138,28 @@ def thresholds(tokens: DataFrame, fdr: float) -> DataFrame:
 
     ``tokens`` has (class, p), a row per different token.
     """
-    bin_ = F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int")
-    counts = tokens.groupBy("class").agg(*(F.count(F.when(bin_ == b, 1)).alias(f"bin{b}") for b in range(BINS)))
-    n = [F.col(f"bin{b}") for b in range(BINS)]
-    # Half of the random tokens lie above one half, with almost nothing else.
-    random = 2.0 * sum(n[BINS // 2 + 1 :], n[BINS // 2])
+    p, widest = F.col("p"), len(LENGTHS)
+    tallies = {"others": p < LEVELS[0]}
+    for i, t in enumerate(LEVELS):
+        tallies[f"above{i}"] = p >= t
+        tallies |= {f"below{i}_{d}": (p < t) & (p >= t ** (d + 1)) for d in DEPTHS[t]}
+    counts = tokens.groupBy("class").agg(*(F.count(F.when(held, 1)).alias(name) for name, held in tallies.items()))
+    # Each class adds its counts to all lengths of its encoding, at the radius from which they include it.
+    parts = F.substring_index("class", "/", 1).alias("encoding"), F.substring_index("class", "/", -1).cast("int").alias("band")
+    pools = counts.select(*parts, F.explode(F.sequence(F.lit(0), F.lit(widest))).alias("radius"), *tallies)
+    pools = pools.withColumn("band", F.explode(F.sequence(F.col("band") - F.col("radius"), F.col("band") + F.col("radius"))))
+    pools = pools.groupBy("encoding", "band", "radius").agg(*(F.sum(name).alias(name) for name in tallies))
     accept = F.lit(None).cast("double")
-    for b in reversed(range(BINS // 2 + 1)):
-        above = sum(n[b + 1 :], n[b])
-        wrong = F.greatest(above - random * (1 - b / BINS), F.lit(0.0))
-        accept = F.when((above > 0) & (wrong <= fdr * above), F.lit(b / BINS)).otherwise(accept)
-    rows = counts.select("class", accept.alias("least")).where("least IS NOT NULL")
+    for i, t in reversed(list(enumerate(LEVELS))):
+        above, wrong = F.col(f"above{i}"), F.lit(0.0)
+        for d in DEPTHS[t]:
+            # Random tokens in the range below for each one above; the rest below is d times what reaches above.
+            share = (t - t ** (d + 1)) / (1 - t)
+            wrong = F.greatest(wrong, (F.col(f"below{i}_{d}") - share * above) / (d - share))
+        accept = F.when((above > 0) & (wrong <= fdr * above), F.lit(t)).otherwise(accept)
+    alone = pools.where((F.col("others") >= ENOUGH) | (F.col("radius") == widest)).where(F.col("band").between(0, widest))
+    name = F.concat_ws("/", "encoding", F.col("band").cast("string")).alias("class")
+    rows = alone.groupBy(name).agg(F.min_by(accept, "radius").alias("least")).where("least IS NOT NULL")
     return rows.agg(F.map_from_entries(F.collect_list(F.struct("class", "least"))).alias("least"))
 
 

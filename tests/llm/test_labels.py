@@ -192,6 +192,44 @@ def test_random_tokens_have_an_even_p(spark):
     assert max(p) < 1e-3
 
 
+def test_few_secrets_of_a_class_are_found(spark):
+    few = [("base62/3", p) for p in (0.1, 0.3, 0.7)] + [("lower/2", 0.03), ("base64/0", 0.2)]
+    words = [(c, 10 ** -(4.5 + i % 9)) for c in ("lower/2", "base64/0") for i in range(90)]
+    even = [("letters/1", np.exp(-1.6 - i / 10)) for i in range(80)] + [("letters/1", 0.9)]
+    rows = spark.createDataFrame([(c, float(p)) for c, p in few + words + even], "class STRING, p DOUBLE")
+    least = secrets.thresholds(rows, 0.1).collect()[0].least
+    assert all(least.get(c, 1) <= p for c, p in few) and least.get("letters/1", 1) > 0.2
+
+
+WORDS = "get set user name table sales order value index from with query parse report store daily total price list update region".split()
+ALPHABETS = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+ALPHABETS += [ALPHABETS[0] + "0123456789", ALPHABETS[2] + "0123456789", ALPHABETS[2] + "0123456789+/"]
+
+
+def natural_token(rng, style, n):
+    parts = [rng.choice(WORDS) for _ in range(n)]
+    if style % 3 == 0:
+        parts = ["".join(parts)]
+    elif style % 3 == 1:
+        parts = ["".join(parts).upper()]
+    else:
+        parts = [parts[0], *(w.title() for w in parts[1:])]
+    if style >= 3:
+        parts.insert(rng.randint(1, len(parts)), str(rng.randint(1, 99)))
+    return "".join(parts)
+
+
+def test_rare_secrets_among_natural_tokens(spark):
+    rng = random.Random(12)
+    plain = {t for style in range(6) for _ in range(120) if len(t := natural_token(rng, style, rng.randint(7, 14))) >= 20}
+    hidden = ["".join(rng.choice(a) for _ in range(n)) for a in ALPHABETS for i, n in enumerate((36, 48, 70)) for _ in range(1 + i % 3)]
+    texts = [f"say {t} so" for t in [*hidden, *sorted(plain)]]
+    got = {r.doc_id: r for r in secrets.find(docs(spark, texts)).collect()}
+    found = sum(len(got[i].added) for i in range(len(hidden)))
+    false = sum(len(got[i].added) for i in range(len(hidden), len(texts)))
+    assert found >= 0.85 * len(hidden) and false <= 0.1 * (found + false), (found, len(hidden), false)
+
+
 def test_secret_digest(spark, tmp_path):
     texts, _ = secret_texts()
     docs(spark, texts, extra=False).write.parquet(str(tmp_path / "documents.parquet"))

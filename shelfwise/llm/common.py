@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.session import stage
 
@@ -99,12 +100,20 @@ def bounded_sample(df: DataFrame, rows: dict, by: str, seed: int = 1) -> DataFra
 
     Only ids are ordered; the other columns follow by a join with those few ids.
     Their number is bounded by the parameter ``rows``, so they may be broadcast.
+    As hashes are even, those below a share of their range, twice as many as are
+    wanted and some more, hold the first ones; all values take the same two passes.
     """
-    ids, chosen = df.select("id", by, F.xxhash64(F.lit(seed), "id").alias("order")).distinct(), None
-    for value, most in rows.items():
-        some = ids.where(F.col(by) == F.lit(value)).orderBy("order", "id").limit(most).select("id")
-        chosen = some if chosen is None else chosen.unionByName(some)
-    return df.join(F.broadcast(chosen.distinct()), "id", "left_semi").where(F.col(by).isin(list(rows)))
+    spark, kinds = df.sparkSession, df.select("id", by).schema
+    ids = df.where(F.col(by).isNotNull() & F.col("id").isNotNull()).select("id", by, F.xxhash64(F.lit(seed), "id").alias("order")).distinct()
+    found = {r[by]: r["count"] for r in ids.groupBy(by).count().collect() if r[by] in rows}
+    top = [(value, min(2**63 - 1, int((2 * rows[value] + 100) / n * 2**64) - 2**63)) for value, n in found.items()]
+    top = spark.createDataFrame(top, T.StructType([kinds[by], T.StructField("top", T.LongType())]))
+    first: dict = {value: [] for value in found}
+    for r in ids.join(F.broadcast(top), by).where("order <= top").select("order", "id", by).collect():
+        first[r[by]].append((r["order"], r["id"]))
+    chosen = [(i,) for value, some in first.items() for _, i in sorted(some)[: rows[value]]]
+    chosen = spark.createDataFrame(chosen, T.StructType([kinds["id"]]))
+    return df.join(F.broadcast(chosen), "id", "left_semi").where(F.col(by).isin(list(rows)))
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

@@ -27,6 +27,8 @@ from shelfwise.llm.common import bounded_sample, byte_view, cuts, keyed, tidy
 
 UNIT = 16
 BLOCK = 8 << 20
+#: With more languages than this, blocks are smaller in proportion, so that a task's memory stays.
+WIDE = 50
 NONE = "und"
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -42,7 +44,7 @@ _LETTER[128:] = True
 class Settings:
     rows: int = 300  # documents of each language that training may read
     chars: int = 2500  # characters of each, from a place its hash picks
-    languages: int = 200  # the most frequent ones are learned
+    total: int = 12000  # documents in all; with more languages than this allows for, each has fewer, and one at least
     hidden: int = 8
     steps: int = 500
     batch: int = 512
@@ -140,8 +142,9 @@ class Model:
             return total
         score, letters = np.zeros((len(grid), len(self.languages))), np.zeros(len(grid))
         by_length = np.argsort((grid != 0).sum(1), kind="stable")
-        for low in range(0, len(grid), 4096):
-            some = by_length[low : low + 4096]
+        step = max(64, 4096 * WIDE // max(WIDE, len(self.languages)))
+        for low in range(0, len(grid), step):
+            some = by_length[low : low + step]
             probs, mask, *_ = _forward(self.params, grid[some])
             score[some] = (probs * mask[:, :, None]).sum(0)
             letters[some] = mask.sum(0)
@@ -158,14 +161,16 @@ def train(texts: list[str], langs: list[str], settings: Settings = Settings()) -
         return Model((), ())
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     grid, which, doc = units(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))))
-    label = np.array([names.index(x) for x in langs], dtype=int)
-    counts = np.zeros((len(grid), len(names)), np.float32)
-    np.add.at(counts, (which, label[doc]), 1)
+    place = {name: i for i, name in enumerate(names)}
+    label = np.array([place[x] for x in langs], dtype=int)[doc]
     if not len(grid):
         return Model(names, ())
-    share = counts / np.maximum(counts.sum(0), 1)
-    target = share / share.sum(1, keepdims=True)
-    pick = np.sqrt(share.sum(1))
+    # A unit occurs in few languages, so its shares are kept as pairs, not as a row of all.
+    pair, many = np.unique(which.astype(np.int64) * len(names) + label, return_counts=True)
+    unit, lang = np.divmod(pair, len(names))
+    share = many / np.bincount(label, minlength=len(names))[lang]
+    whole, starts = np.bincount(unit, share, len(grid)), np.searchsorted(unit, np.arange(len(grid) + 1))
+    share, pick = share / whole[unit], np.sqrt(whole)
     rng, size = np.random.default_rng(settings.seed), settings.hidden
     draw = lambda *shape: rng.normal(0, shape[0] ** -0.5 if shape[0] != 256 else 0.3, shape).astype(np.float32)
     params = [draw(256, 3 * size), draw(size, 3 * size), draw(256, 3 * size), draw(size, 3 * size), draw(2 * size, len(names)), np.zeros(len(names), np.float32)]
@@ -173,7 +178,11 @@ def train(texts: list[str], langs: list[str], settings: Settings = Settings()) -
     for step in range(1, settings.steps + 1):
         some = rng.choice(len(grid), settings.batch, p=pick / pick.sum())
         probs, mask, both, columns, memory, memory_back = _forward(params, grid[some], True)
-        error = (probs - target[some]) * mask[:, :, None] / max(1, mask.sum())
+        size_of = starts[some + 1] - starts[some]
+        at = np.arange(size_of.sum()) + np.repeat(starts[some] - np.cumsum(size_of) + size_of, size_of)
+        target = np.zeros((len(some), len(names)), np.float32)
+        target[np.repeat(np.arange(len(some)), size_of), lang[at]] = share[at]
+        error = (probs - target) * mask[:, :, None] / max(1, mask.sum())
         outer = error @ params[4].T
         ahead = _layer_back(params[0], params[1], columns, memory, list(outer[:, :, :size]))
         behind = _layer_back(params[2], params[3], columns[::-1], memory_back, list(outer[::-1, :, size:]))
@@ -189,10 +198,11 @@ def train(texts: list[str], langs: list[str], settings: Settings = Settings()) -
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     """Train on a bounded sample of ``labelled`` (id, text, lang); rows without text or language are not used."""
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages).collect()
-    if not common:
+    langs = [r.lang for r in rows.select("lang").distinct().collect()]
+    if not langs:
         return Model((), ())
-    sample = bounded_sample(rows, {r.lang: settings.rows for r in common}, "lang", settings.seed)
+    each = max(1, min(settings.rows, settings.total // len(langs)))
+    sample = bounded_sample(rows, dict.fromkeys(langs, each), "lang", settings.seed)
     at = F.pmod(F.xxhash64("id"), F.greatest(F.length("text") - settings.chars, F.lit(0)) + 1)
     got = sample.select("id", F.substr("text", at.cast("int") + 1, F.lit(settings.chars)).alias("text"), "lang").collect()
     got.sort(key=lambda r: (r.id, r.lang, r.text))
@@ -213,7 +223,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = byte_view(batch.column(1))
-            for low, high in cuts(offsets, BLOCK):
+            for low, high in cuts(offsets, BLOCK * WIDE // max(WIDE, len(model.languages))):
                 part = slice(int(offsets[low]), int(offsets[high]))
                 probs = model.predict(data[part], offsets[low : high + 1] - offsets[low])
                 texts = batch.column(1).slice(low, high - low).to_pylist()

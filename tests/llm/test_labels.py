@@ -34,6 +34,15 @@ def test_language_is_learned(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(2)
+    rows = [(10 * k + j, " ".join(f"{chr(0x4E00 + k)}{rng.choice('xyz')}" for _ in range(6)), f"l{k:03}") for k in range(230) for j in range(2 if k < 220 else 1)]
+    df = spark.createDataFrame(rows, "id BIGINT, text STRING, lang STRING")
+    model = langid.fit(df, langid.Settings(steps=2))
+    assert len(model.languages) == 230
+    assert {r.id for r in langid.predict(df, model, "id").collect()} == {r[0] for r in rows}
+
+
 def test_language_of_odd_texts(spark):
     rng = random.Random(2)
     model = langid.train([made_up(rng, lang, 30) for lang in STEMS], list(STEMS), langid.Settings(steps=20))

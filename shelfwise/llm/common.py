@@ -95,8 +95,11 @@ def cuts(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, i
         low = high
 
 
-def bounded_sample(df: DataFrame, rows: dict, by: str, seed: int = 1) -> DataFrame:
-    """At most ``rows[value]`` rows of ``df`` (id, ``by``, ...) for every value of ``by``, chosen by the hash of the id.
+def bounded_sample(df: DataFrame, rows: dict, by: str, seed: int = 1, cut: Column | None = None) -> DataFrame:
+    """At most ``rows[value]`` rows of ``df`` (id, ``by``, text) for every value of ``by``, chosen by the hash of the id.
+
+    Of repeated rows, with one id and value, the one whose text hashes lowest is
+    taken, before anything is collected; of each text only ``cut`` is read, if given.
 
     Only ids are ordered; the other columns follow by a join with those few ids.
     Their number is bounded by the parameter ``rows``, so they may be broadcast.
@@ -111,9 +114,13 @@ def bounded_sample(df: DataFrame, rows: dict, by: str, seed: int = 1) -> DataFra
     first: dict = {value: [] for value in found}
     for r in ids.join(F.broadcast(top), by).where("order <= top").select("order", "id", by).collect():
         first[r[by]].append((r["order"], r["id"]))
-    chosen = [(i,) for value, some in first.items() for _, i in sorted(some)[: rows[value]]]
-    chosen = spark.createDataFrame(chosen, T.StructType([kinds["id"]]))
-    return df.join(F.broadcast(chosen), "id", "left_semi").where(F.col(by).isin(list(rows)))
+    chosen = [(i, value) for value, some in first.items() for _, i in sorted(some)[: rows[value]]]
+    chosen = F.broadcast(spark.createDataFrame(chosen, kinds))
+    # By the id alone first: that filters before any join inside ``df``.
+    picked = df.join(chosen.select("id"), "id", "left_semi").join(chosen, ["id", by], "left_semi")
+    picked = picked.select("id", by, (F.col("text") if cut is None else cut).alias("text"))
+    one = F.min(F.struct(F.xxhash64("text").alias("order"), "text")).alias("one")
+    return picked.groupBy("id", by).agg(one).select("id", by, "one.text")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

@@ -202,9 +202,9 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     if not langs:
         return Model((), ())
     each = max(1, min(settings.rows, settings.total // len(langs)))
-    sample = bounded_sample(rows, dict.fromkeys(langs, each), "lang", settings.seed)
     at = F.pmod(F.xxhash64("id"), F.greatest(F.length("text") - settings.chars, F.lit(0)) + 1)
-    got = sample.select("id", F.substr("text", at.cast("int") + 1, F.lit(settings.chars)).alias("text"), "lang").collect()
+    cut = F.substr("text", at.cast("int") + 1, F.lit(settings.chars))
+    got = bounded_sample(rows, dict.fromkeys(langs, each), "lang", settings.seed, cut).collect()
     got.sort(key=lambda r: (r.id, r.lang, r.text))
     return train([r.text for r in got], [r.lang for r in got], settings)
 

@@ -175,10 +175,9 @@ def _weights(texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray, np.n
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     """Train on a bounded sample of ``labelled`` (id, text, label 0/1); rows without text or label are not used."""
     rows = labelled.where(F.col("label").isin(0, 1) & F.col("text").isNotNull())
-    sample = bounded_sample(rows, {0: settings.clean_rows, 1: settings.toxic_rows}, "label", settings.seed)
     length, at = F.length("text"), F.pmod(F.xxhash64("id"), F.greatest(F.length("text") - settings.chars, F.lit(0)) + 1)
     cut = F.when(length <= settings.chars, F.col("text")).otherwise(F.substr("text", at.cast("int") + 1, F.lit(settings.chars)))
-    got = sample.select("id", cut.alias("text"), "label").collect()
+    got = bounded_sample(rows, {0: settings.clean_rows, 1: settings.toxic_rows}, "label", settings.seed, cut).collect()
     got.sort(key=lambda r: (r.id, r.label, r.text))
     return train([r.text for r in got], np.array([r.label for r in got], dtype=int), settings)
 

@@ -10,6 +10,7 @@ from helpers import awkward_texts, docs
 from pyspark.sql import functions as F
 
 from shelfwise.llm import langid, neighbours, queries, secrets, toxicity
+from shelfwise.llm.common import bounded_sample
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -136,6 +137,15 @@ def test_one_label_gives_its_share(spark):
     assert toxicity.fit(rows.limit(0)).logits([""])[0] < 0
 
 
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    rows = [(1, f"text {i % 40}", i % 2) for i in range(400)] + [(i, f"other {i}", i % 2) for i in range(2, 60)]
+    df = spark.createDataFrame(rows, "id BIGINT, text STRING, label INT")
+    got = bounded_sample(df, {0: 20, 1: 50}, "label").collect()
+    assert len({(r.id, r.label) for r in got}) == len(got)
+    assert sum(r.label == 0 for r in got) == 20 and sum(r.label for r in got) == 30
+    assert {(r.id, r.text, r.label) for r in got} <= set(rows)
+
+
 def test_training_reads_no_held_out_label(spark):
     texts = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id BIGINT, text STRING")
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)] + [(1, None, 1), (None, 1, 1)], "doc_id BIGINT, toxic INT, quality INT")

@@ -26,6 +26,12 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="session")
+def small():
+    """The folder of the smallest test tables."""
+    return SMALL
+
+
 @pytest.fixture
 def rows(spark):
     """rows(df) lists the rows of a frame as sorted tuples."""

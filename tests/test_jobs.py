@@ -15,18 +15,16 @@ from shelfwise.sources import tables as io
 from shelfwise.streaming import audit, sales
 from shelfwise.streaming import stock as stocks
 
-from conftest import SMALL
-
 
 def folder(spark):
     return f"{scratch_dir(spark)}/test-{uuid.uuid4().hex}"
 
 
 @pytest.fixture(scope="session")
-def base(spark):
+def base(spark, small):
     from registry.tables import tables
 
-    return tables(spark, SMALL, "transactions", "products", "stores", "requests")
+    return tables(spark, small, "transactions", "products", "stores", "requests")
 
 
 @pytest.fixture(scope="session")

@@ -271,7 +271,7 @@ def refresh_stream(spark, sf):
     path = new_folder(spark, "refreshed")
     query = sales.daily_stream(event_sales(spark, sf), f"{path}/batches", f"{path}/checkpoint", refreshed=f"{path}/features")
     query.awaitTermination()
-    rows = sales.newest_features(spark.read.parquet(f"{path}/features"))
+    rows = sales.newest_features(spark, f"{path}/features")
     columns = ("lag_1d", "rolling_mean_14d", "target_encoding_store_sku", "sku_store_coverage", "total_lifespan", "s_total_lifespan")
     return rows.select("store_id", "sku", "date", "qty", *columns)
 

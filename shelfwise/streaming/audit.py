@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.functions.text import action_class
-from shelfwise.streaming import deltas
+from shelfwise.streaming import runs
 from shelfwise.streaming.stock import NOW
 
 KEYS = ["start", "action_class"]
@@ -33,19 +33,17 @@ def audit_stream(
     checkpoint: str,
     every: str = "1 hour",
     slide: str | None = None,
-    fold_every: int = 100,
+    fold_every: int = runs.EVERY,
     trigger: dict[str, Any] = NOW,
 ) -> StreamingQuery:
     """Write each batch's own counts; late events add to their interval. Read the result with ``counts``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        deltas.write_batch(audit_counts(batch, every, slide), path, batch_id)
-        if (batch_id + 1) % fold_every == 0:
-            deltas.fold(batch.sparkSession, path, COUNTS, KEYS, batch_id)
+        runs.write(audit_counts(batch, every, slide), path, batch_id, COUNTS, runs.adding(KEYS), fold_every)
 
     return log.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
 
 
 def counts(spark: SparkSession, path: str) -> DataFrame:
     """Events per interval and class over all batches."""
-    return deltas.total(deltas.read_deltas(spark, path, COUNTS), KEYS)
+    return runs.adding(KEYS)(runs.read(spark, path, COUNTS))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators.maintain import sale_deltas
-from shelfwise.streaming import deltas
+from shelfwise.streaming import runs
 
 NOW: dict[str, Any] = {"availableNow": True}
 KEYS = ["store_id", "sku"]
@@ -26,18 +26,18 @@ def movements(sales: DataFrame, imports: DataFrame) -> DataFrame:
 
 
 def stock_stream(
-    changes: DataFrame, path: str, checkpoint: str, fold_every: int = 100, trigger: dict[str, Any] = NOW
+    changes: DataFrame, path: str, checkpoint: str, fold_every: int = runs.EVERY, trigger: dict[str, Any] = NOW
 ) -> StreamingQuery:
-    """Write, per batch, the net change of each (store, SKU) that moved; every ``fold_every`` batches they are folded.
+    """Write, per batch, the net change of each (store, SKU) that moved; batches
+    are put together as ``runs`` says.
 
     A hot key is added up on the map side of every batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         net = batch.groupBy(*KEYS).agg(F.sum("quantity").cast("bigint").alias("net"))
-        deltas.write_batch(net.withColumn("store_id", F.col("store_id").cast("int")), path, batch_id)
-        if (batch_id + 1) % fold_every == 0:
-            deltas.fold(batch.sparkSession, path, NET, KEYS, batch_id)
+        net = net.withColumn("store_id", F.col("store_id").cast("int"))
+        runs.write(net, path, batch_id, NET, runs.adding(KEYS), fold_every)
 
     return (
         changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
@@ -46,7 +46,7 @@ def stock_stream(
 
 def on_hand(spark: SparkSession, path: str, opening: DataFrame) -> DataFrame:
     """Opening stock plus the net change of each key, with a flag on stock below zero."""
-    moved = deltas.total(deltas.read_deltas(spark, path, NET), KEYS)
+    moved = runs.adding(KEYS)(runs.read(spark, path, NET))
     quantity = F.coalesce("quantity", F.lit(0)) + F.coalesce("net", F.lit(0))
     return (
         opening.select("store_id", "sku", "quantity")

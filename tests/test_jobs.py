@@ -12,7 +12,7 @@ from shelfwise.plans import forecast, training
 from shelfwise.plans import features as jobs
 from shelfwise.session import OWN_SCRATCH, scratch_dir, stage
 from shelfwise.sources import tables as io
-from shelfwise.streaming import audit, sales
+from shelfwise.streaming import audit, runs, sales
 from shelfwise.streaming import stock as stocks
 
 
@@ -184,7 +184,7 @@ def test_late_sales_are_never_lost(spark, fold_every):
     sales.daily_stream(tx(), f"{out}/days", f"{out}/c2", refreshed=f"{out}/new", fold_every=fold_every).awaitTermination()
     got = sales.days(spark, f"{out}/days").orderBy("date").collect()
     assert [(r.date.day, r.qty) for r in got] == [(1, 2.0), (2, 4.0), (10, 2.0), (11, 2.0)]
-    fresh = sales.newest_features(spark.read.parquet(f"{out}/new")).orderBy("date").collect()
+    fresh = sales.newest_features(spark, f"{out}/new").orderBy("date").collect()
     assert [(r.date.day, r.lag_1d, r.total_lifespan) for r in fresh] == [(1, 0.0, 0.0), (2, 2.0, 1.0), (10, 4.0, 9.0), (11, 2.0, 10.0)]
 
 
@@ -198,6 +198,56 @@ def test_late_audit_events_count(spark):
     assert sorted(r.n for r in audit.counts(spark, f"{out}/n").collect()) == [1, 2]
 
 
+def test_runs_cover_all_batches_once():
+    for every in (2, 3, 8):
+        for n in range(200):
+            got = runs.cover(n, every)
+            assert [b for size, first in got for b in range(first, first + size)] == list(range(n))
+            assert len(got) <= (every - 1) * (1 + sum(every**k <= n for k in range(1, 9)))
+
+
+def test_reading_cost_is_flat_and_late_rows_rewrite_little(spark, monkeypatch):
+    src, out = folder(spark), folder(spark)
+    kind = "transaction_id STRING, store_id INT, sku STRING, quantity INT, transaction_date TIMESTAMP"
+    batches = [[(f"t{n}{s}", s, "a", 1 + n % 3, dt.datetime(2024, 1, 1) + dt.timedelta(n)) for s in (1, 2)] for n in range(8)]
+    batches.append([("late", 2, "a", 5, dt.datetime(2024, 1, 7)), ("t31", 1, "a", 9, dt.datetime(2024, 1, 4))])
+    write_slices(spark, src, batches, kind)
+    opened, read = [], runs.read
+
+    def spy(spark, path, schema, which=None, buckets=None):
+        if buckets is not None:
+            opened.append((path, len(which), len(buckets)))
+        return read(spark, path, schema, which, buckets)
+
+    monkeypatch.setattr(runs, "read", spy)
+
+    def tx():
+        return spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(src)
+
+    sales.dedup_stream(tx(), f"{out}/rows", f"{out}/c1", fold_every=2, buckets=4).awaitTermination()
+    sales.daily_stream(tx(), f"{out}/days", f"{out}/c2", refreshed=f"{out}/new", fold_every=2, buckets=4).awaitTermination()
+    assert len(opened) == 18 and max(n for _, n, _ in opened) <= 4 and max(b for _, _, b in opened) <= 2
+    ids = sorted(r.transaction_id for r in spark.read.parquet(f"{out}/rows").collect())
+    assert ids == sorted({r[0] for b in batches for r in b}) and len(ids) == 17
+    rewritten = spark.read.parquet(runs.folder(f"{out}/new/rows", 1, 8))
+    assert sorted((r.store_id, r.date.day) for r in rewritten.collect()) == [(1, d) for d in range(4, 9)] + [(2, d) for d in range(7, 9)]
+    whole = features.window_features(sales.days(spark, f"{out}/days"), extended=True)
+    whole = features.lifespan(whole, features.series_table(whole))
+    got = sales.newest_features(spark, f"{out}/new")
+    assert got.count() == 16 and got.select(*whole.columns).exceptAll(whole).count() == 0
+
+
+def test_readers_wait_for_a_run_to_be_complete(spark):
+    path, kind = folder(spark), "store_id INT, sku STRING, net BIGINT"
+    for batch in range(4):
+        runs.write(spark.createDataFrame([(1, "a", 1)], kind), path, batch, kind, runs.adding(["store_id", "sku"]), 2)
+    assert runs.written(spark, path) == [(2, 0), (1, 2), (1, 3)]
+    runs.write(spark.createDataFrame([(1, "a", 1)], kind), path, 4, kind, runs.adding(["store_id", "sku"]), 2)
+    assert runs.written(spark, path) == [(4, 0), (1, 4)] == runs.cover(4, 2) + [(1, 4)]
+    assert [r.net for r in runs.adding(["store_id", "sku"])(runs.read(spark, path, kind)).collect()] == [5]
+    assert runs.written(spark, f"{path}/none") == [] and runs.read(spark, f"{path}/none", kind).count() == 0
+
+
 def test_refresh_touches_only_late_series(spark):
     daily = spark.createDataFrame(
         [(1, s, dt.date(2024, 1, d), float(d)) for s in "ab" for d in (1, 2, 3)], "store_id INT, sku STRING, date DATE, qty DOUBLE"

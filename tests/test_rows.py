@@ -44,6 +44,24 @@ def test_one_hot_key_is_served_in_order(spark):
     assert got == serve_by_loop(lines, {"hot": 500})
 
 
+def test_keys_on_chunk_edges_are_served_in_order(spark):
+    draw = random.Random(8)
+    lines = [(draw.choice("abc"), at, draw.choice([1, 2, 5, 40, 0, -3])) for at in range(600)]
+    supply = {"a": 70, "b": 10_000, "c": 0}
+    data = [(key, at, asked, supply[key]) for key, at, asked in lines] + [(None, 1000 + k, 1, 5) for k in range(40)]
+    df = spark.createDataFrame(data, "sku STRING, at INT, quantity INT, available BIGINT").repartition(7)
+    for served in (ops.accept_in_order(df, ["sku"], ["at"], "quantity", "available"), by_rounds(df.where("sku IS NOT NULL"))):
+        assert served.where("sku IS NULL AND accepted").count() == 0
+        got = {r["at"]: (r["accepted"], r["left"]) for r in served.where("sku IS NOT NULL").collect()}
+        assert {at: a for at, (a, _) in got.items()} == serve_by_loop(lines, supply)
+        assert min(left for a, left in got.values() if a) >= 0 and all(left is None for a, left in got.values() if not a)
+
+
+def by_rounds(df):
+    parts = {"_asked": F.col("quantity").cast("bigint"), "_supply": F.col("available"), "_chunk": (F.col("at") / 37).cast("int")}
+    return ops._in_rounds(df.withColumns(parts), ["sku"], ["at"], df.columns)
+
+
 def test_missing_store_or_sku_is_refused(spark):
     orders = spark.createDataFrame([(None, "a", 1, 1), (1, None, 2, 1), (1, "a", 3, 1)], "store_id INT, sku STRING, at INT, quantity INT")
     stock = spark.createDataFrame([(1, "a", 5)], "store_id INT, sku STRING, quantity BIGINT")

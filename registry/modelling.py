@@ -278,10 +278,8 @@ def fit_scaler(spark, sf):
     "scale",
     ("featured",),
     "SELECT store_id, sku, date, "
-    + ", ".join(f"round((f.{c} - s.{c}_m) / s.{c}_s, 4) AS {c}_z" for c in SCALED[1:])
-    + " FROM featured f, (SELECT "
-    + ", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in SCALED[1:])
-    + " FROM featured) s",
+    + ", ".join(f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 4) AS {c}_z" for c in SCALED[1:])
+    + " FROM featured",
 )
 def scale(spark, sf):
     rows = stage(feature_table(spark, sf).select("store_id", "sku", "date", *SCALED[1:]), "rows")

@@ -135,9 +135,8 @@ def nearest_dates(requests: DataFrame, daily: DataFrame) -> DataFrame:
     """
     keys = ["store_id", "sku"]
     wanted = requests.select(*keys, F.col("date").alias("_day")).where(F.col("_day").isNotNull()).distinct()
-    wanted = stage(wanted, "wanted")
     known = daily.select(*keys, F.col("date").alias("_day"), F.col("date").alias("_known"))
-    known = known.join(wanted.select(*keys).distinct(), keys, "left_semi")
+    known = known.join(requests.select(*keys).distinct(), keys, "left_semi")
     merged = wanted.withColumn("_known", F.lit(None).cast("date")).unionByName(known)
     day = F.unix_date("_day")
     running = (W.unboundedPreceding, W.currentRow)
@@ -165,10 +164,21 @@ def nearest_dates(requests: DataFrame, daily: DataFrame) -> DataFrame:
 
 
 def nearest_features(requests: DataFrame, daily: DataFrame) -> DataFrame:
-    """Requests with the feature row of the nearest date; requests for unknown series are left out."""
-    found = nearest_dates(requests, daily)
+    """Requests with the feature row of the nearest date; requests for unknown series are left out.
+
+    Requests are computed once and staged. They learn their feature date from
+    narrow rows; the wide feature rows are fetched last, by key, and shuffled once.
+    """
+    return fetch_nearest(stage(requests, "requests"), daily)
+
+
+def fetch_nearest(requests: DataFrame, daily: DataFrame) -> DataFrame:
+    """``nearest_features`` of requests that are staged already."""
+    dated = requests.join(nearest_dates(requests, daily), ["store_id", "sku", "date"])
     rows = daily.withColumnRenamed("date", "feature_date")
-    return requests.join(found.join(rows, ["store_id", "sku", "feature_date"]), ["store_id", "sku", "date"])
+    wide = [name for name in rows.columns if name not in ("store_id", "sku", "feature_date")]
+    order = ["store_id", "sku", "date", *(c for c in requests.columns if c not in ("store_id", "sku", "date")), "feature_date", *wide]
+    return dated.join(rows, ["store_id", "sku", "feature_date"]).select(*order)
 
 
 def static_features(requests: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
@@ -232,7 +242,7 @@ def features_for(requests: DataFrame, daily: DataFrame, products: DataFrame, sto
     features = [name for name in REQUIRED_FEATURES if name in daily.columns]
 
     keys = stage(requests.select(*own).distinct(), "keys")
-    found = stage(nearest_features(keys, daily).select(*own, "feature_date", *features), "near")
+    found = stage(fetch_nearest(keys, daily).select(*own, "feature_date", *features), "near")
     near = default_features(found).select(*own, F.struct("feature_date", *features).alias("_near"))
     df = requests.join(near, own, "left")
 

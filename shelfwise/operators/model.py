@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.base import Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    GBTRegressionModel,
-    GBTRegressor,
-    GeneralizedLinearRegression,
-    GeneralizedLinearRegressionModel,
-)
+from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.calendar import date_parts
+from shelfwise.operators.boosting import BoostedTrees, boost
 from shelfwise.operators.rows import ranked
 from shelfwise.session import stage
 
@@ -158,7 +156,7 @@ class DemandModel:
     encoder: DataFrame
     scaler: DataFrame
     inputs: list[str]
-    regression: Model
+    regression: Model | BoostedTrees
 
 
 SCALED = "__scaled"
@@ -172,29 +170,21 @@ def assemble(df: DataFrame, scaler: DataFrame, inputs: Sequence[str]) -> DataFra
 
 
 def train_regression(
-    train: DataFrame, valid: DataFrame, kind: str = "tweedie", label: str = "qty", trees: int = 1000, depth: int = 5
-) -> Model:
+    train: DataFrame, valid: DataFrame, kind: str = "tweedie", label: str = "qty", **options: float
+) -> Model | BoostedTrees:
     """Fit on frames with a ``features`` vector.
 
     ``tweedie`` is a generalised linear model with the Tweedie loss and a log
-    link. ``gbt`` are boosted trees (rate 0.05, seed 42, about 32 leaves) that stop
-    early on the validation part.
+    link. ``gbt`` are trees boosted with that loss (by default up to 1000 at rate
+    0.05, of about 32 leaves), cut at the round with the least loss on ``valid``
+    once 50 more rounds have not lowered it; ``options`` go to ``boosting.boost``.
     """
     if kind == "tweedie":
         return GeneralizedLinearRegression(
             family="tweedie", variancePower=1.5, linkPower=0.0, regParam=0.01, maxIter=25, labelCol=label
         ).fit(train)
     if kind == "gbt":
-        both = train.withColumn("is_valid", F.lit(False)).unionByName(valid.withColumn("is_valid", F.lit(True)))
-        return GBTRegressor(
-            labelCol=label,
-            maxIter=trees,
-            stepSize=0.05,
-            maxDepth=depth,
-            seed=42,
-            validationIndicatorCol="is_valid",
-            validationTol=0.0001,
-        ).fit(both)
+        return boost(train, valid, label, **options)
     raise ValueError("kind must be 'tweedie' or 'gbt'")
 
 
@@ -207,24 +197,47 @@ def score(model: DemandModel, df: DataFrame, encoded: bool = False) -> DataFrame
     return out.withColumn("prediction", F.greatest(F.col("prediction"), F.lit(0.0))).drop("features", *codes)
 
 
-REGRESSIONS = {"tweedie": GeneralizedLinearRegressionModel, "gbt": GBTRegressionModel}
+REGRESSIONS = {"tweedie": GeneralizedLinearRegressionModel, "gbt": BoostedTrees}
+
 
+def save_model(model: DemandModel, path: str) -> str:
+    """Write dictionary, scaling and regression as a new version below ``path``; returns the version's folder.
 
-def save_model(model: DemandModel, path: str) -> None:
-    """Dictionary, scaling and regression together below ``path``; the scaling keeps the input order."""
-    model.encoder.write.mode("overwrite").parquet(f"{path}/encoder")
-    model.scaler.withColumn("kind", F.lit(model.kind)).coalesce(1).write.mode("overwrite").parquet(f"{path}/scaler")
-    model.regression.write().overwrite().save(f"{path}/regression")
+    A version counts once its last folder, ``ready``, is there, so a reader beside
+    a save, or after one that broke off, gets the version before it. Versions are
+    never changed; old ones may be deleted.
+    """
+    folder = f"{path}/version={time.time_ns():020d}-{uuid.uuid4().hex}"
+    model.encoder.write.parquet(f"{folder}/encoder")
+    scaler = model.scaler.withColumn("kind", F.lit(model.kind)).coalesce(1)
+    scaler.write.parquet(f"{folder}/scaler")
+    model.regression.save(f"{folder}/regression")
+    scaler.select("kind").limit(1).write.parquet(f"{folder}/ready")
+    return folder
+
+
+def newest_version(spark: SparkSession, path: str) -> str:
+    """The folder of the last version below ``path`` that was saved completely."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.listStatus(hadoop.Path(path)) if files.exists(hadoop.Path(path)) else []
+    names = sorted((s.getPath().getName() for s in found if s.getPath().getName().startswith("version=")), reverse=True)
+    for name in names:
+        if files.exists(hadoop.Path(f"{path}/{name}/ready/_SUCCESS")):
+            return f"{path}/{name}"
+    raise FileNotFoundError(f"{path} has no complete model")
 
 
 def load_model(spark: SparkSession, path: str) -> DemandModel:
-    scaler = spark.read.parquet(f"{path}/scaler")
+    """The last complete version below ``path``, or the version whose folder ``path`` is."""
+    folder = path if "/version=" in path else newest_version(spark, path)
+    scaler = spark.read.parquet(f"{folder}/scaler")
     rows = scaler.orderBy("position").collect()
     kind = rows[0]["kind"]
     return DemandModel(
         kind=kind,
-        encoder=spark.read.parquet(f"{path}/encoder"),
+        encoder=spark.read.parquet(f"{folder}/encoder"),
         scaler=scaler.drop("kind"),
         inputs=[r["feature"] for r in rows],
-        regression=REGRESSIONS[kind].load(f"{path}/regression"),
+        regression=REGRESSIONS[kind].load(f"{folder}/regression"),
     )

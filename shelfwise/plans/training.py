@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.operators import model
+from shelfwise.operators import boosting, model
 from shelfwise.operators.aggregate import daily_label, regression_metrics
 from shelfwise.session import stage
 
@@ -29,10 +29,13 @@ def train_demand(
     ratio: float = 0.8,
     fit_on: str = "all",
     inputs: Sequence[str] = model.MODEL_INPUTS,
-    **options: int,
+    **options: float,
 ) -> tuple[model.DemandModel, DataFrame]:
     """Fit on the earlier part of ``data`` and measure on the later part; returns (model, metrics).
 
+    The metrics have the Tweedie loss besides, and the rounds of boosting: how
+    many were run, and the best one, at which the trees are cut (null for ``tweedie``).
+
     ``fit_on`` tells which rows the dictionary is built from: 'all' or 'train'.
     A day on which more came back than was sold counts as no demand, as the
     Tweedie loss has no negative values. The prepared rows are staged and
@@ -56,4 +59,7 @@ def train_demand(
         train.unpersist()
     fitted = model.DemandModel(kind, encoder, scaler, columns, regression)
     predicted = regression.transform(valid).withColumn("prediction", F.greatest("prediction", F.lit(0.0)))
-    return fitted, regression_metrics(predicted)
+    loss = boosting.mean_loss(predicted, "qty", F.log(F.greatest("prediction", F.lit(1e-9))))
+    rounds = (regression.grown, regression.best) if kind == "gbt" else (None, None)
+    more = {"tweedie_loss": F.lit(loss), "rounds": F.lit(rounds[0]).cast("int"), "best_round": F.lit(rounds[1]).cast("int")}
+    return fitted, regression_metrics(predicted).withColumns(more)

@@ -1,13 +1,16 @@
 """Models, streams, sinks and plans."""
 
 import datetime as dt
+import math
+import random
 import uuid
 from types import SimpleNamespace
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from shelfwise.operators import aggregate, clean, dims, features, lookup, model
+from shelfwise.operators import aggregate, boosting, clean, dims, features, lookup, model
 from shelfwise.plans import forecast, training
 from shelfwise.plans import features as jobs
 from shelfwise.session import OWN_SCRATCH, scratch_dir, stage
@@ -87,6 +90,57 @@ def test_model_beats_nothing_and_survives_saving(spark, table, fitted):
     assert a.where("p < 0 OR p IS NULL").count() == 0
 
 
+def test_a_broken_save_leaves_the_last_model(spark, table, fitted, monkeypatch):
+    path = folder(spark)
+    with pytest.raises(FileNotFoundError, match="no complete model"):
+        model.load_model(spark, path)
+    first = model.save_model(fitted[0], path)
+
+    class Breaks:
+        def save(self, where):
+            raise OSError("disk full")
+
+    with pytest.raises(OSError):
+        model.save_model(model.DemandModel("tweedie", fitted[0].encoder, fitted[0].scaler, fitted[0].inputs, Breaks()), path)
+    assert model.newest_version(spark, path) == first and model.load_model(spark, path).inputs == fitted[0].inputs
+    second = model.save_model(fitted[0], path)
+    assert second != first and model.newest_version(spark, path) == second
+    assert model.load_model(spark, first).regression.intercept == fitted[0].regression.intercept
+
+
+def frame_of(spark, rows):
+    return spark.createDataFrame([(float(y), Vectors.dense(x)) for y, *x in rows], ["qty", "features"])
+
+
+def test_a_round_is_a_newton_step(spark):
+    rows = [(y, x) for x, ys in ((0.0, (0, 1, 3)), (1.0, (4, 8, 0))) for y in ys for _ in range(10)]
+    df = frame_of(spark, rows)
+    fit = boosting.boost(df, df, trees=1, rate=0.5, patience=5)
+    mean = sum(y for y, _ in rows) / len(rows)
+    got = {r.features[0]: r.prediction for r in fit.transform(df).collect()}
+    for x in (0.0, 1.0):
+        ys = [y for y, at in rows if at == x]
+        step = sum(y * mean**-0.5 - mean**0.5 for y in ys) / sum(0.5 * mean**0.5 + 0.5 * y * mean**-0.5 for y in ys)
+        assert got[x] == pytest.approx(mean * math.exp(0.5 * step))
+    assert (fit.grown, fit.best) == (1, 1)
+
+
+def test_boosting_stops_by_patience_and_is_cut_at_the_best_round(spark):
+    draw = random.Random(3)
+    part = [[(draw.choice([0, 0, 1, 2 + 6 * (x > 0.5)]), x, draw.random()) for x in (draw.random() for _ in range(400))] for _ in range(2)]
+    train, valid = (frame_of(spark, rows).coalesce(1) for rows in part)
+    fit = boosting.boost(train, valid, trees=40, rate=0.4, patience=3, depth=3)
+    assert fit.best == 1 + fit.losses.index(min(fit.losses)) and fit.grown in (fit.best + 3, 40)
+    assert fit.trees.getNumTrees == fit.best and fit.losses[0] > min(fit.losses)
+    scored = fit.transform(valid)
+    assert boosting.mean_loss(scored, "qty", F.log("prediction")) == pytest.approx(min(fit.losses))
+    path = folder(spark)
+    fit.save(path)
+    again = boosting.BoostedTrees.load(path)
+    assert again.transform(valid).select("prediction").exceptAll(scored.select("prediction")).count() == 0
+    assert (again.grown, again.best, again.losses) == (fit.grown, fit.best, fit.losses)
+
+
 def test_daily_forecast_replaces_weeks(spark, table, fitted):
     path, parts = folder(spark), ["forecast_year", "forecast_week", "model_version"]
     out = forecast.run_forecast(table, fitted[0], dt.date(2026, 12, 28))

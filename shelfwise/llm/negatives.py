@@ -31,7 +31,7 @@ from shelfwise.llm.common import group_starts, small_batches, stage, tidy, whole
 #: Components of a segment, from coarse to fine.
 SEGMENTS = (16, 4)
 #: Rows of a block: at most, and the fewest of which a block is made to keep more tasks busy.
-BLOCK, LEAST, SPREAD = 8192, 512, 64
+BLOCK, LEAST, SPREAD = 8192, 512, 16
 ANCHORS = 1024
 #: Pairs of one step within a task.
 STEP = 1 << 21

@@ -74,10 +74,12 @@ def _as_text(name: str):
 def fit_encoder(df: DataFrame, cols: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
     """Dictionary (column, value, code): the values of each text column numbered from 0 in sorted order.
 
-    Millions of SKUs are numbered without a single-task sort; see ``ranked``.
+    Rows are reduced to their distinct texts, of which there are about as many as
+    series, before these are unfolded. Millions of SKUs are numbered without a
+    single-task sort; see ``ranked``.
     """
     pairs = F.array(*[F.struct(F.lit(name).alias("column"), _as_text(name).alias("value")) for name in cols])
-    values = df.select(F.inline(pairs)).distinct()
+    values = df.select(*cols).distinct().select(F.inline(pairs)).distinct()
     codes = ranked(values, ["value"], "code", within=["column"])
     return stage(codes, "encoder")
 

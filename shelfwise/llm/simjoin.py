@@ -7,15 +7,18 @@ intersection is at least 80 times the union. Equal sets are one node.
    compared with a leader and join its group if they link; leaders go on to the
    next order. Large buckets are dealt out in parts of ``PART`` nodes, whose
    leaders meet in the next round, so no bucket meets in one task.
-2. *Matrix.* The matrix of tokens by groups holds the group's union of tokens.
+   Each leader's task stores the union of its group's tokens as one row.
+2. *Matrix.* The matrix of tokens by groups says which queries meet which groups.
    It is kept sparse: a link needs a common token among the rarest fifth of both
    documents' tokens, so only those are listed, by token. Rarity comes from a
    count over all documents in a table of fixed size; any order is correct, a
-   good one keeps the lists short. Lists within one class need no work.
+   good one keeps the lists short. Lists within one class need no work. A long
+   list is reduced to one row per group, against which blocks of queries are
+   dealt out over tasks.
 3. *Bound.* A query and a group that share a listed token (and pass the position
-   bound on it) meet: the group's token union bounds their overlap, and only a
-   group whose bound reaches the query's need is opened and its members are
-   compared exactly.
+   bound on it) meet: the stored union bounds their overlap. Only a group whose
+   bound reaches the query's need is opened: its members are read and compared
+   exactly. A group of one is its own union, so the bound's task compares it.
 4. *Classes.* Links between classes are joined by label propagation along stars.
 
 Every pair of different nodes that links either shares a class after step 1 or
@@ -24,6 +27,7 @@ is found in step 3, so classes are exact up to 64-bit hash collisions.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -43,6 +47,7 @@ CELL_BLOCKS = 64
 QUERIES = 2048
 PAIRS = 1 << 18
 SHORT = 128
+LONG = 1024
 PLACE_BITS = 32
 _U = np.uint64
 _ORDER_FACTORS = (_U(1), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB))
@@ -181,7 +186,10 @@ def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _leaders(percent: int):
-    """For ``mapInArrow`` over (bucket, part, node, tokens), sorted: the leader of every node of a part."""
+    """For ``mapInArrow`` over (bucket, part, node, tokens), sorted: the leader of every node of a part.
+
+    One more row, without a node, holds the union of the tokens of a leader and those it leads here.
+    """
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +205,13 @@ def _leaders(percent: int):
                     if leader[i] == i:
                         heads.append(i)
             follow = [i for i, h in enumerate(leader) if h != i]
-            yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in follow], pa.int64()), pa.array([nodes[leader[i]] for i in follow], pa.int64())], ["node", "leader"])
+            union: dict[int, np.ndarray] = {}
+            for i in follow:
+                union[leader[i]] = np.union1d(union.get(leader[i], tokens[leader[i]]), tokens[i])
+            columns = [nodes[i] for i in follow], [nodes[leader[i]] for i in follow], [None] * len(follow)
+            for column, more in zip(columns, ([None] * len(union), [nodes[h] for h in union], [u.tobytes() for u in union.values()])):
+                column.extend(more)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))], ["node", "leader", "tokens"])
 
     return run
 
@@ -211,15 +225,21 @@ def _shared(nodes: DataFrame, order: str) -> DataFrame:
     return nodes.join(stage(sizes, "sizes"), order)
 
 
-def _group(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, group, class): the leader that a node joined first, and the last leader above it."""
-    up, front = [], nodes
+def _group(nodes: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(node, group, class): the leader that a node joined first, and the last leader above it.
+
+    With it (group, tokens): the unions of groups of several nodes, one row for each turn in which a group grew.
+    """
+    up, unions, front = [], None, nodes
     for turn, k in enumerate((0, *range(ORDERS))):
         order = f"order{k}"
         part = F.pmod(F.xxhash64(F.lit(turn), "node"), F.ceil(F.col("size") / PART)).cast("int")
         shared = _shared(front, order).select(F.col(order).alias("bucket"), part.alias("part"), "node")
         dealt = shared.join(sets, "node").repartition("bucket", "part").sortWithinPartitions("bucket", "part", "node")
-        joined = stage(dealt.mapInArrow(_leaders(percent), "node long, leader long"), f"leaders{turn}")
+        led = stage(dealt.mapInArrow(_leaders(percent), "node long, leader long, tokens binary"), f"leaders{turn}")
+        joined = led.where("node IS NOT NULL").select("node", "leader")
+        union = led.where("node IS NULL").select(F.col("leader").alias("group"), "tokens")
+        unions = union if unions is None else unions.union(union)
         up.append(joined)
         if turn < ORDERS:
             front = stage(front.join(joined, "node", "left_anti"), f"front{turn}")
@@ -229,7 +249,7 @@ def _group(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         known = known.join(step, "class", "left").select(
             "node", F.coalesce("group", F.when(F.col("leader").isNotNull() & (F.col("node") == F.col("class")), F.col("leader"))).alias("group"), F.coalesce("leader", "class").alias("class")
         )
-    return known.select("node", F.coalesce("group", "node").alias("group"), "class")
+    return known.select("node", F.coalesce("group", "node").alias("group"), "class"), unions
 
 
 def _meetings(percent: int):
@@ -237,6 +257,8 @@ def _meetings(percent: int):
 
     Of two classes in a list, the one with fewer nodes there asks. The position
     bound on the token must hold for some member; a pair is given once per block.
+    Lists have at most ``SHORT`` rows, so all are compared at once: each row with
+    the one ``step`` places on.
     """
 
     def fits(n, at, q, other):
@@ -256,8 +278,7 @@ def _meetings(percent: int):
             size = np.repeat(lengths, lengths)
             end = np.repeat(ends, ends - starts)
             asked, given = [], []
-            # Short lists, all at once: each row with the one `step` places on.
-            left = np.flatnonzero(np.repeat(ends - starts <= SHORT, ends - starts))
+            left = np.arange(rows.num_rows)
             for step in range(1, SHORT):
                 left = left[left + step < end[left]]
                 if not len(left):
@@ -268,28 +289,72 @@ def _meetings(percent: int):
                 asks = (size[i] < size[j]) | ((size[i] == size[j]) & (of[i] < of[j]))
                 asked.append(node[np.where(asks, i, j)])
                 given.append(group[np.where(asks, j, i)])
-            for low, high in zip(starts[ends - starts > SHORT].tolist(), ends[ends - starts > SHORT].tolist()):
-                # Sorted by class size, a class asks all classes after its own.
-                order = low + np.lexsort((of[low:high], size[low:high]))
-                place = np.cumsum(np.append(False, of[order][1:] != of[order][:-1]))
-                after = np.searchsorted(place, place, "right")
-                # As many queries at a time as keep the comparison with the list small.
-                block = max(1, PAIRS // (high - low))
-                for first in range(0, int(np.searchsorted(after, high - low)), block):
-                    some = slice(first, first + block)
-                    later = np.arange(high - low) >= after[some, None]
-                    i, j = np.nonzero(later & fits(n, at, order[some, None], order[None, :]))
-                    asked.append(node[order[some][i]])
-                    given.append(group[order[j]])
-                    if sum(map(len, asked)) > PAIRS:
-                        yield _pairs(asked, given)
-                        asked, given = [], []
             if asked:
                 yield _pairs(asked, given)
 
     return run
 
 
+def _long_meetings(percent: int):
+    """For ``mapInArrow`` over (token, block, asks, class, size, of, least, most, room), groups first: the pairs of ``_meetings``.
+
+    ``of`` is a group or a query; ``size`` counts its class in the list, ``least``
+    and ``most`` are the smallest and largest set, and ``room`` is the most tokens
+    any of them has from the listed one on. The bounds hold for some member at best.
+    """
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, ["token", "block"]):
+            starts = group_starts(rows, ["token", "block"])
+            asks = rows.column("asks").to_numpy(zero_copy_only=False)
+            kind, size, of, least, most, room = (rows.column(c).to_numpy().astype(np.int64) for c in ("class", "size", "of", "least", "most", "room"))
+            for low, high in zip(starts.tolist(), [*starts[1:].tolist(), rows.num_rows]):
+                first = low + int(np.count_nonzero(~asks[low:high]))
+                g = np.arange(low, first)[None, :]
+                # As many queries at a time as keep the comparison with the groups small.
+                step = max(1, PAIRS // max(1, first - low))
+                for at in range(first, high, step):
+                    q = np.arange(at, min(high, at + step))[:, None]
+                    meet = (size[q] < size[g]) | ((size[q] == size[g]) & (kind[q] < kind[g]))
+                    meet &= (100 * most[g] >= percent * most[q]) & (100 * most[q] >= percent * least[g])
+                    meet &= (100 + percent) * np.minimum(room[q], room[g]) >= percent * (most[q] + least[g])
+                    i, j = np.nonzero(meet)
+                    if len(i):
+                        yield _pairs([of[at + i]], [of[low + j]])
+
+    return run
+
+
+def _met(lists: DataFrame, percent: int) -> DataFrame:
+    """(node, group): the queries and groups of different classes that share a listed token and pass its bounds.
+
+    Short lists are compared row by row. Of a long list, groups are one row each,
+    combined on the map side, and queries are dealt out in blocks of ``LONG``; the
+    class that has most nodes in it asks nothing, so a list of one text's near
+    copies and a few strangers sends the strangers only.
+    """
+    sized = lists.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("many"))
+    lists = lists.join(stage(sized.where("low < high").select("token", "many"), "bridging"), "token")
+    pairs = "node long, group long"
+    short = lists.where(F.col("many") <= SHORT).select("token", "class", "group", "node", "n", "at")
+    short = short.repartition("token").sortWithinPartitions("token", "class", "node").mapInArrow(_meetings(percent), pairs)
+
+    long = stage(lists.where(F.col("many") > SHORT).select("token", "class", "group", "node", "n", "at"), "long")
+    sizes = long.groupBy("token", "class").agg(F.count(F.lit(1)).alias("size"))
+    last = sizes.groupBy("token").agg(F.max(F.struct("size", "class")).alias("last"), F.sum("size").alias("rows"))
+    sizes = sizes.join(last, "token").withColumn("blocks", F.ceil((F.col("rows") - F.col("last.size")) / LONG).cast("int"))
+    sizes = stage(sizes.select("token", "class", "size", "blocks", (F.struct("size", "class") < F.col("last")).alias("asking")), "long_sizes")
+    width = [F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("at")).alias("room")]
+    groups = long.groupBy("token", "class", F.col("group").alias("of")).agg(*width).join(sizes, ["token", "class"])
+    groups = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(False))
+    queries = long.join(sizes.where("asking"), ["token", "class"]).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    queries = queries.select("*", F.col("node").alias("of"), F.col("n").alias("least"), F.col("n").alias("most"), (F.col("n") - F.col("at")).alias("room"), F.lit(True).alias("asks"))
+    columns = ["token", "block", "asks", "class", "size", "of", "least", "most", "room"]
+    dealt = groups.select(*columns).union(queries.select(*columns)).repartition("token", "block").sortWithinPartitions("token", "block", "asks", "of")
+    return short.union(dealt.mapInArrow(_long_meetings(percent), pairs)).distinct()
+
+
 def _pairs(asked: list[np.ndarray], given: list[np.ndarray]) -> pa.RecordBatch:
     """The different pairs, once each."""
     a, b = np.concatenate(asked), np.concatenate(given)
@@ -300,8 +365,12 @@ def _pairs(asked: list[np.ndarray], given: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a[new], pa.int64()), pa.array(b[new], pa.int64())], ["node", "group"])
 
 
-def _open(percent: int):
-    """For ``mapInArrow`` over (group, part, asks, node, tokens), members first: links of queries with the group."""
+def _against(kind: str, compare):
+    """For ``mapInArrow`` over (group, part, asks, node, tokens), a group's rows first: (query, group) pairs, and one more column.
+
+    ``compare(tokens, node)`` gives the test of a query's tokens, from the tokens of
+    a group's rows and the first one's node; what it returns is given unless None.
+    """
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,18 +378,55 @@ def _open(percent: int):
             starts = group_starts(rows, ["group", "part"])
             asks, nodes, groups = (rows.column(c).to_pylist() for c in ("asks", "node", "group"))
             tokens = [np.frombuffer(t.as_buffer(), np.uint64) for t in rows.column("tokens")]
-            found: list[tuple[int, int]] = []
+            found: list[tuple[int, int, bool]] = []
             for low, high in zip(starts.tolist(), [*starts[1:].tolist(), rows.num_rows]):
                 first = next((i for i in range(low, high) if asks[i]), high)
                 if low == first or first == high:
                     continue
-                union = np.unique(np.concatenate(tokens[low:first])) if first - low > 1 else tokens[low]
+                test = compare(tokens[low:first], nodes[low])
                 for q in range(first, high):
-                    if overlap(tokens[q], union) >= _least(len(tokens[q]), percent) and any(links(tokens[m], tokens[q], percent) for m in range(low, first)):
-                        found.append((nodes[q], groups[low]))
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["node", "group"])
+                    result = test(tokens[q])
+                    if result is not None:
+                        found.append((nodes[q], groups[low], result))
+            columns = ([f[i] for f in found] for i in range(3))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_()))], ["node", "group", kind])
 
-    return run
+    return run, f"node long, group long, {kind} boolean"
+
+
+def _bound(percent: int):
+    """Queries whose need the group's union can fill: true for one that links with a group of one, false for one to open a larger group."""
+
+    def compare(unions: list[np.ndarray], alone: int | None):
+        union = functools.reduce(np.union1d, unions) if len(unions) > 1 else unions[0]
+
+        def test(tokens: np.ndarray) -> bool | None:
+            if overlap(tokens, union) < _least(len(tokens), percent):
+                return None
+            return False if alone is None else links(union, tokens, percent) or None
+
+        return test
+
+    return _against("linked", compare)
+
+
+def _open(percent: int):
+    """Queries that link with a member."""
+    return _against("linked", lambda members, _: lambda tokens: any(links(m, tokens, percent) for m in members) or None)
+
+
+def _ask(pairs: DataFrame, there: DataFrame, sets: DataFrame) -> DataFrame:
+    """(group, part, asks, node, tokens), sorted: the rows ``there`` (group, node, tokens) and the queries of ``pairs``.
+
+    The queries of a group are dealt out in parts of ``QUERIES``; its own rows go to each part.
+    """
+    parts = pairs.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    asking = pairs.join(parts, "group").select("group", part.alias("part"), F.lit(True).alias("asks"), "node").join(sets, "node")
+    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    there = there.join(parts, "group").select("group", each, F.lit(False).alias("asks"), "node", "tokens")
+    both = there.union(asking.select("group", "part", "asks", "node", "tokens"))
+    return both.repartition("group", "part").sortWithinPartitions("group", "part", "asks", "node")
 
 
 def classes(edges: DataFrame) -> DataFrame:
@@ -371,25 +477,27 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         some = _shared(nodes, order).select("node", "id")
         shared = some if shared is None else shared.union(some)
     sets = _sets(rows, stage(shared.distinct(), "shared"), "tokens")
-    grouped = stage(_group(nodes, sets, percent), "grouped")
+    grouped, unions = _group(nodes, sets, percent)
+    grouped = stage(grouped, "grouped")
 
     tokens = stage(rows.mapInArrow(_rare_tokens(level, percent), "token long, node long, n int, at int").repartition("token").sortWithinPartitions("token", "node").mapInArrow(_lists, "token long, node long, n int, at int"), "lists")
-    classed = tokens.join(grouped, "node")
-    bridging = classed.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("token")
-    lists = classed.join(bridging, "token", "left_semi").select("token", "class", "group", "node", "n", "at")
-    met = lists.repartition("token").sortWithinPartitions("token", "class", "node").mapInArrow(_meetings(percent), "node long, group long")
-    met = stage(met.distinct(), "met")
-
-    members = grouped.join(met.select("group").distinct(), "group", "left_semi").select("group", "node")
-    need = members.select("node").union(met.select("node")).distinct()
-    opened = _sets(rows, stage(nodes.join(need, "node", "left_semi").select("node", "id"), "needed"), "opened")
-    parts = met.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    asking = met.join(parts, "group").select("group", part.alias("part"), F.lit(True).alias("asks"), "node")
-    there = members.join(parts, "group").select("group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("asks"), "node")
-    table = asking.union(there).join(opened, "node").select("group", "part", "asks", "node", "tokens")
-    linked = table.repartition("group", "part").sortWithinPartitions("group", "part", "asks", "node").mapInArrow(_open(percent), "node long, group long")
-    linked = stage(linked, "links")
+    lists = tokens.join(grouped, "node").select("token", "class", "group", "node", "n", "at")
+    met = stage(_met(lists, percent), "met")
+
+    # The bound reads stored unions and the sets of queries and of groups of one; members are read where it is reached.
+    several = unions.select("group").distinct()
+    alone = stage(met.select("group").distinct().join(several, "group", "left_anti"), "alone")
+    need = met.select("node").union(alone).distinct()
+    asked = _sets(rows, stage(nodes.join(need, "node", "left_semi").select("node", "id"), "needed"), "asked")
+    single = alone.withColumn("node", F.col("group")).join(asked, "node").select("group", "node", "tokens")
+    there = unions.select("group", F.lit(None).cast("long").alias("node"), "tokens").union(single)
+    run, schema = _bound(percent)
+    reached = stage(_ask(met, there, asked).mapInArrow(run, schema), "reached")
+    opened = stage(reached.where("NOT linked").select("node", "group"), "opened")
+    members = grouped.join(opened.select("group").distinct(), "group", "left_semi").select("group", "node")
+    run, schema = _open(percent)
+    exact = stage(_ask(opened, members.join(sets, "node").select("group", "node", "tokens"), asked).mapInArrow(run, schema), "links")
+    linked = reached.where("linked").union(exact).select("node", "group")
 
     of = grouped.select("node", "class")
     edges = linked.join(of, "node").select("group", F.col("class").alias("a")).join(of.select(F.col("node").alias("group"), F.col("class").alias("b")), "group").select("a", "b")

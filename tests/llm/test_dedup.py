@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import CLASH, LOWER, awkward_texts, components, docs, repeats, sha, words
 
@@ -64,6 +65,7 @@ def test_jaccard_components_equal_brute_force(spark):
 @pytest.mark.parametrize("short", [1, 128])
 def test_jaccard_in_small_parts(spark, monkeypatch, short):
     monkeypatch.setattr(simjoin, "SHORT", short)
+    monkeypatch.setattr(simjoin, "LONG", 4)
     monkeypatch.setattr(simjoin, "PAIRS", 50)
     monkeypatch.setattr(simjoin, "PART", 3)
     monkeypatch.setattr(simjoin, "QUERIES", 2)
@@ -79,6 +81,38 @@ def test_jaccard_in_small_parts(spark, monkeypatch, short):
     assert got == components(list(enumerate(texts)))
 
 
+@pytest.mark.parametrize("short", [4, 128])
+def test_jaccard_on_pages_of_a_template(spark, monkeypatch, short):
+    """Pages that overlap by 0.6 to 0.8 and mostly do not link, with near copies of some, in short and in long lists."""
+    monkeypatch.setattr(simjoin, "SHORT", short)
+    monkeypatch.setattr(simjoin, "LONG", 8)
+    monkeypatch.setattr(simjoin, "PART", 16)
+    rng = random.Random(23)
+    frame = words(rng, 120, 10_000).split()
+    texts = [" ".join([*frame, *(f"own{k}w{i}" for i in range(rng.randrange(10, 28)))]) for k in range(150)]
+    for k in range(0, 150, 6):
+        copy = texts[k].split()
+        copy[rng.randrange(120, len(copy))] = f"edit{k}"
+        texts += [" ".join(copy), " ".join([*copy, "more"])]
+    wanted = components(list(enumerate(texts)))
+    assert 20 < len({c for _, c in wanted.values()}) < 150
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in simjoin.components(docs(spark, texts)).collect()}
+    assert got == wanted
+
+
+def test_jaccard_opens_a_group_by_its_stored_union():
+    """The bound lets a query through that the union of a group fills, and none that it cannot; groups of one are compared there."""
+    numbers = {name: np.array(sorted(tokens), np.uint64) for name, tokens in {"a": range(100), "b": range(5, 105), "fits": range(10, 110), "far": range(50, 150)}.items()}
+
+    def pairs(rows):
+        run, _ = simjoin._bound(80)
+        table = pa.table({"group": [r[0] for r in rows], "part": [0] * len(rows), "asks": [r[1] for r in rows], "node": pa.array([r[2] for r in rows], pa.int64()), "tokens": [numbers[r[3]].tobytes() for r in rows]})
+        return [tuple(r.values()) for batch in run(iter(table.to_batches())) for r in batch.to_pylist()]
+
+    assert pairs([(1, False, None, "a"), (1, False, None, "b"), (1, True, 7, "fits"), (1, True, 8, "far")]) == [(7, 1, False)]
+    assert pairs([(1, False, 1, "a"), (1, True, 7, "fits"), (1, True, 9, "b"), (1, True, 8, "far")]) == [(7, 1, True), (9, 1, True)]
+
+
 def test_jaccard_keeps_one_of_a_group(spark):
     texts = awkward_texts()
     df = docs(spark, texts)

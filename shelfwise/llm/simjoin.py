@@ -335,12 +335,12 @@ def _met(lists: DataFrame, percent: int) -> DataFrame:
     copies and a few strangers sends the strangers only.
     """
     sized = lists.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("many"))
-    lists = lists.join(stage(sized.where("low < high").select("token", "many"), "bridging"), "token")
+    lists = stage(lists.join(sized.where("low < high").select("token", "many"), "token"), "bridging")
     pairs = "node long, group long"
     short = lists.where(F.col("many") <= SHORT).select("token", "class", "group", "node", "n", "at")
     short = short.repartition("token").sortWithinPartitions("token", "class", "node").mapInArrow(_meetings(percent), pairs)
 
-    long = stage(lists.where(F.col("many") > SHORT).select("token", "class", "group", "node", "n", "at"), "long")
+    long = lists.where(F.col("many") > SHORT).drop("many")
     sizes = long.groupBy("token", "class").agg(F.count(F.lit(1)).alias("size"))
     last = sizes.groupBy("token").agg(F.max(F.struct("size", "class")).alias("last"), F.sum("size").alias("rows"))
     sizes = sizes.join(last, "token").withColumn("blocks", F.ceil((F.col("rows") - F.col("last.size")) / LONG).cast("int"))
@@ -496,7 +496,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     opened = stage(reached.where("NOT linked").select("node", "group"), "opened")
     members = grouped.join(opened.select("group").distinct(), "group", "left_semi").select("group", "node")
     run, schema = _open(percent)
-    exact = stage(_ask(opened, members.join(sets, "node").select("group", "node", "tokens"), asked).mapInArrow(run, schema), "links")
+    # Narrow rows pick the sets first, so that sets without a part in this are not moved.
+    members, askers = stage(members, "members"), opened.select("node").distinct()
+    inside = sets.where(passes(members, "node")).join(members, "node").select("group", "node", "tokens")
+    exact = stage(_ask(opened, inside, asked.where(passes(askers, "node"))).mapInArrow(run, schema), "links")
     linked = reached.where("linked").union(exact).select("node", "group")
 
     of = grouped.select("node", "class")

@@ -48,6 +48,8 @@ QUERIES = 2048
 PAIRS = 1 << 18
 SHORT = 128
 LONG = 1024
+#: Size of the tables that pick sets by node: 0.5 MB, of use up to some three million nodes.
+NODE_BITS = 1 << 22
 PLACE_BITS = 32
 _U = np.uint64
 _ORDER_FACTORS = (_U(1), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB))
@@ -235,7 +237,8 @@ def _group(nodes: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame,
         order = f"order{k}"
         part = F.pmod(F.xxhash64(F.lit(turn), "node"), F.ceil(F.col("size") / PART)).cast("int")
         shared = _shared(front, order).select(F.col(order).alias("bucket"), part.alias("part"), "node")
-        dealt = shared.join(sets, "node").repartition("bucket", "part").sortWithinPartitions("bucket", "part", "node")
+        shared = stage(shared, f"shared{turn}")
+        dealt = sets.where(passes(shared, "node", bits=NODE_BITS)).join(shared, "node").select("bucket", "part", "node", "tokens").repartition("bucket", "part").sortWithinPartitions("bucket", "part", "node")
         led = stage(dealt.mapInArrow(_leaders(percent), "node long, leader long, tokens binary"), f"leaders{turn}")
         joined = led.where("node IS NOT NULL").select("node", "leader")
         union = led.where("node IS NULL").select(F.col("leader").alias("group"), "tokens")
@@ -498,8 +501,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     run, schema = _open(percent)
     # Narrow rows pick the sets first, so that sets without a part in this are not moved.
     members, askers = stage(members, "members"), opened.select("node").distinct()
-    inside = sets.where(passes(members, "node")).join(members, "node").select("group", "node", "tokens")
-    exact = stage(_ask(opened, inside, asked.where(passes(askers, "node"))).mapInArrow(run, schema), "links")
+    inside = sets.where(passes(members, "node", bits=NODE_BITS)).join(members, "node").select("group", "node", "tokens")
+    exact = stage(_ask(opened, inside, asked.where(passes(askers, "node", bits=NODE_BITS))).mapInArrow(run, schema), "links")
     linked = reached.where("linked").union(exact).select("node", "group")
 
     of = grouped.select("node", "class")

@@ -174,17 +174,20 @@ def flatten_feed_transactions(spark, sf):
     return flat(spark, sf)["transactions"]
 
 
-# --- streams, replayed one file per trigger; every file holds rows of all dates, so most rows come late ---
+# --- streams, replayed in three triggers; every file holds rows of all dates, so most rows come late ---
 
-FILES = 3
+TRIGGERS = 3
+#: Rows of an arriving file. A larger table has more files a trigger, not larger ones, so no task reads a third of it.
+FILE_ROWS = 1_000_000
 
 
 def stream(spark, sf, name, key):
     """A test table as a stream of files that are not in the order of time."""
     path = new_folder(spark, "arriving")
-    raw_table(spark, sf, name).repartition(FILES, F.col(key)).write.parquet(path)
-    schema = raw_table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    rows = raw_table(spark, sf, name)
+    at_once = max(1, -(-rows.count() // (TRIGGERS * FILE_ROWS)))
+    rows.repartition(TRIGGERS * at_once, F.col(key)).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", at_once).parquet(path)
 
 
 def sales_and_imports(events):

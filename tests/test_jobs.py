@@ -348,3 +348,20 @@ def test_filters_reach_the_scan(spark):
     text = plan(clean_transactions(spark.read.parquet(path)).select("store_id", "quantity"))
     assert "GreaterThan(quantity,0.0)" in text
     assert "note" not in text.split("ReadSchema")[1]
+
+
+def test_arriving_files_stay_small_as_the_table_grows(spark, small, monkeypatch):
+    from registry import files
+
+    monkeypatch.setattr(files, "FILE_ROWS", 20, raising=False)
+    key = F.col("event_id")
+    path, source = folder(spark), folder(spark)
+    spark.range(0, 100).select(F.col("id").alias("event_id")).write.parquet(f"{source}/events.parquet")
+    seen = []
+    arriving = files.stream(spark, source, "events", "event_id")
+    arriving.writeStream.option("checkpointLocation", path).foreachBatch(
+        lambda batch, _: seen.append([r.n for r in batch.groupBy(F.input_file_name()).agg(F.count(key).alias("n")).collect()])
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == 3 and sum(map(sum, seen)) == 100
+    # Two files a trigger for 100 rows; before, a file was a third of any table.
+    assert all(len(sizes) == 2 for sizes in seen) and max(map(max, seen)) < 30

@@ -235,41 +235,53 @@ def features_for(requests: DataFrame, daily: DataFrame, products: DataFrame, sto
 
     ``source`` says which: 'daily', 'static' or 'missing'. Request columns that
     are named like features are kept aside as ``asked_<name>``.
+
+    Features are put together per distinct (store, SKU, date); the requests join
+    them once, by all three, so wide rows are never shuffled by store and SKU, of
+    which a few may have most of the requests. ``requests`` are read twice.
     """
     own = ["store_id", "sku", "date"]
     asked = {name: f"asked_{name}" for name in requests.columns if name in REQUIRED_FEATURES}
     requests = requests.withColumnsRenamed(asked)
     features = [name for name in REQUIRED_FEATURES if name in daily.columns]
+    types = {field.name: field.dataType for field in daily.schema.fields}
 
     keys = stage(requests.select(*own).distinct(), "keys")
-    found = stage(fetch_nearest(keys, daily).select(*own, "feature_date", *features), "near")
-    near = default_features(found).select(*own, F.struct("feature_date", *features).alias("_near"))
-    df = requests.join(near, own, "left")
+    dated = stage(keys.join(nearest_dates(keys, daily), own, "left"), "dated")
+    near = default_features(daily.select("store_id", "sku", F.col("date").alias("feature_date"), *features))
+    near = near.withColumnsRenamed({name: f"_near_{name}" for name in features})
 
-    needy = keys.join(found.select(*own), own, "left_anti").select("store_id", "sku").distinct()
+    needy = dated.where(F.col("feature_date").isNull()).select("store_id", "sku").distinct()
     static = static_features(needy, products, stores).where("static_found").drop("static_found")
     static_names = [name for name in static.columns if name not in ("store_id", "sku")]
-    static = static.select("store_id", "sku", F.struct(*static_names).alias("_static"))
-    df = df.join(static, ["store_id", "sku"], "left")
-
-    types = {field.name: field.dataType for field in daily.schema.fields}
+    static = static.select("store_id", "sku", *[F.col(name).alias(f"_static_{name}") for name in static_names], F.lit(True).alias("_static"))
+    found = dated.join(near, ["store_id", "sku", "feature_date"], "left").join(static, ["store_id", "sku"], "left")
+    missed = F.col("feature_date").isNull()
 
     def pick(name: str):
         choices = []
         if name in features:
-            choices.append(F.col(f"_near.{name}"))
+            choices.append(F.col(f"_near_{name}"))
         if name in static_names:
-            fallback = F.col(f"_static.{name}").cast(types.get(name, static.schema["_static"].dataType[name].dataType))
-            choices.append(F.when(F.col("_near").isNull(), fallback))
+            kind = types.get(name, static.schema[f"_static_{name}"].dataType)
+            choices.append(F.when(missed, F.col(f"_static_{name}").cast(kind)))
         return F.coalesce(*choices) if choices else F.lit(None).cast("double")
 
-    source = F.when(F.col("_near").isNotNull(), "daily").when(F.col("_static").isNotNull(), "static").otherwise("missing")
-    return df.select(
-        *requests.columns,
-        F.col("_near.feature_date").alias("feature_date"),
-        source.alias("source"),
+    source = F.when(~missed, "daily").when(F.col("_static"), "static").otherwise("missing")
+    picked = found.select(
+        *[F.col(name).alias(f"_{name}") for name in own],
+        "feature_date",
+        source.alias("_source"),
         *[pick(name).alias(name) for name in REQUIRED_FEATURES],
     )
+    # A request without a date still finds what is known of its product and store.
+    same = (requests["store_id"] == F.col("_store_id")) & (requests["sku"] == F.col("_sku")) & requests["date"].eqNullSafe(F.col("_date"))
+    return requests.join(picked, same, "left").select(
+        *[requests[name] for name in requests.columns],
+        "feature_date",
+        F.coalesce("_source", F.lit("missing")).alias("source"),
+        *REQUIRED_FEATURES,
+    )
 
 
 def apply_overrides(df: DataFrame, names: Sequence[str] | None = None, prefix: str = "asked_") -> DataFrame:

@@ -77,22 +77,34 @@ def prepared_requests(
     """Requests with features, overrides and status; and those whose own fields are invalid.
 
     ``requests`` holds store_id as text, sku, date as ISO text and optionally
-    feature overrides such as total_discount_avg. The result is staged: the scored
-    and the failed requests are both taken from it, and scoring starts from plain
-    columns. With ``defaults`` (a profile of ``lookup.PROFILES``) the found features
-    are laid over that profile's values, so that every valid request has features.
+    feature overrides such as total_discount_avg. The narrow requests are checked,
+    parsed and staged once, as the keys, the features and the invalid ones are all
+    taken from them; the wide rows are not staged, so a caller that needs them
+    twice has to keep what it makes of them. With ``defaults`` (a profile of
+    ``lookup.PROFILES``) the found features are laid over that profile's values, so
+    that every valid request has features.
     """
     if "total_discount_avg" not in requests.columns:
         requests = requests.withColumn("total_discount_avg", F.lit(None).cast("double"))
-    good, bad = clean.validate(requests, clean.request_rules())
-    good = good.withColumnRenamed("store_id", "store_raw").withColumns(
-        {"store_id": parse_store_id(F.col("store_raw")), "date": F.try_to_date("date", "yyyy-M-d")}
-    )
+    parsed = requests.withColumns({"_store": parse_store_id(F.col("store_id")), "_day": clean.request_day()})
+    checked = stage(clean.with_reasons(parsed, clean.request_rules(F.col("_day"))), "requests")
+    good, bad = clean.by_reasons(checked)
+    good = good.withColumnRenamed("store_id", "store_raw").withColumn("date", F.col("_day")).drop("_day")
+    good = good.withColumnRenamed("_store", "store_id")
     found = lookup.apply_overrides(lookup.features_for(good, daily, products, stores))
     if defaults:
         known = F.when(F.col("source") == "missing", "default").otherwise(F.col("source"))
         found = lookup.default_features(found, defaults).withColumn("source", known)
-    return stage(lookup.validate_features(found), "requests"), bad
+    return lookup.validate_features(found), bad.drop("_store", "_day")
+
+
+def scored_requests(checked: DataFrame, fitted: model.DemandModel) -> DataFrame:
+    """``checked`` with a ``prediction`` where the status is 'ok', and null elsewhere, in one pass.
+
+    The model reads no gaps, so rows with missing features get defaults on the way.
+    """
+    scored = model.score(fitted, model.calendar_features(lookup.default_features(checked)))
+    return scored.withColumn("prediction", F.when(F.col("status") == "ok", F.col("prediction")))
 
 
 def score_batch(
@@ -108,14 +120,14 @@ def score_batch(
     Requests without features are errors, or with ``defaults="miss"`` scored on the predictor's defaults.
     """
     checked, bad = prepared_requests(requests, daily, products, stores, defaults)
-    own = [F.col("store_raw").alias("store_id"), F.col("sku"), F.date_format("date", "yyyy-MM-dd").alias("date")]
     outcome = ["store_id", "sku", "date", "status", "predicted_quantity", "message"]
-    scored = model.score(fitted, model.calendar_features(checked.where(F.col("status") == "ok")))
-    scored = scored.select(
-        *own, F.lit("success").alias("status"), F.col("prediction").alias("predicted_quantity"), F.col("message")
-    )
-    failed = checked.where(F.col("status") != "ok").select(
-        *own, "status", F.lit(0.0).alias("predicted_quantity"), "message"
+    answered = scored_requests(checked, fitted).select(
+        F.col("store_raw").alias("store_id"),
+        "sku",
+        F.date_format("date", "yyyy-MM-dd").alias("date"),
+        F.when(F.col("status") == "ok", "success").otherwise(F.col("status")).alias("status"),
+        F.coalesce("prediction", F.lit(0.0)).alias("predicted_quantity"),
+        "message",
     )
     invalid = bad.select(
         F.col("store_id").cast("string").alias("store_id"),
@@ -125,23 +137,26 @@ def score_batch(
         F.lit(0.0).alias("predicted_quantity"),
         F.concat(F.lit("invalid fields: "), F.array_join("reasons", ", ")).alias("message"),
     )
-    return scored.unionByName(failed).unionByName(invalid).select(*outcome)
+    return answered.unionByName(invalid).select(*outcome)
 
 
 def forecast_requests(
     requests: DataFrame, daily: DataFrame, products: DataFrame, stores: DataFrame, fitted: model.DemandModel
 ) -> dict[str, DataFrame]:
-    """Daily, weekly and monthly forecasts of the valid requests, rows for the forecast table, and the rest."""
+    """Daily, weekly and monthly forecasts of the valid requests, rows for the forecast table, and the rest.
+
+    All are taken from the requests' outcomes, which are staged without the features.
+    """
     checked, bad = prepared_requests(requests, daily, products, stores)
-    ok = checked.where(F.col("status") == "ok")
-    scored = model.score(fitted, model.calendar_features(ok)).drop("store_id").withColumnRenamed("store_raw", "store_id")
-    scored = scored.select("store_id", "sku", "date", "product_id", "prediction")
+    columns = ("store_raw", "sku", "date", "product_id", "status", "message", "prediction")
+    outcomes = stage(scored_requests(checked, fitted).select(*columns), "outcomes")
+    scored = outcomes.where(F.col("status") == "ok").withColumnRenamed("store_raw", "store_id")
     weekly = weekly_forecast(scored, places=2)
     return {
         "daily": scored.select("store_id", "sku", "date", F.col("prediction").alias("predicted_quantity")),
         "weekly": weekly,
         "monthly": monthly_forecast(scored),
         "rows": forecast_rows(weekly, REQUEST_VERSION),
-        "errors": checked.where(F.col("status") != "ok").select("store_raw", "sku", "date", "message"),
+        "errors": outcomes.where(F.col("status") != "ok").select("store_raw", "sku", "date", "message"),
         "invalid": bad,
     }

@@ -365,3 +365,29 @@ def test_arriving_files_stay_small_as_the_table_grows(spark, small, monkeypatch)
     assert len(seen) == 3 and sum(map(sum, seen)) == 100
     # Two files a trigger for 100 rows; before, a file was a third of any table.
     assert all(len(sizes) == 2 for sizes in seen) and max(map(max, seen)) < 30
+
+
+def test_requests_are_staged_narrow_and_once(spark, base, table, monkeypatch):
+    """Wide rows of requests were staged before, and the requests themselves computed three times."""
+    kept = {}
+
+    def spy(df, label="frame"):
+        kept.setdefault(label, []).append(df.columns)
+        return stage(df, label)
+
+    for module in (forecast, lookup):
+        monkeypatch.setattr(module, "stage", spy)
+    checked, bad = forecast.prepared_requests(base["requests"], table, base["products"], base["stores"])
+    assert checked.count() + bad.count() == base["requests"].count()
+    assert len(kept["requests"]) == 1 and "lag_1d" not in kept["requests"][0]
+    assert all("lag_1d" not in columns for frames in kept.values() for columns in frames)
+
+
+def test_undated_requests_find_what_is_known_of_product_and_store(spark, base, table):
+    day = table.agg(F.max("date")).first()[0]
+    store, sku = table.where(F.col("date") == F.lit(day)).select("store_id", "sku").first()
+    kind = "store_id INT, sku STRING, date DATE, lag_1d DOUBLE"
+    asked = spark.createDataFrame([(store, sku, None, 1.0), (store, sku, day, 2.0), (store, sku, day, 3.0), (store, None, day, 4.0), (99, "none", None, 5.0)], kind)
+    got = lookup.features_for(asked, table, base["products"], base["stores"]).collect()
+    assert {r.asked_lag_1d: r.source for r in got} == {1.0: "static", 2.0: "daily", 3.0: "daily", 4.0: "missing", 5.0: "missing"}
+    assert len(got) == 5 and {r.feature_date for r in got if r.source == "daily"} == {day}

@@ -8,10 +8,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from registry.cases import case, rounded
-from registry.features import EXTRA_COLUMNS, FEATURE_COLUMNS, feature_table
+from registry.features import BASE, EXTRA_COLUMNS, FEATURE_COLUMNS, feature_table
 from registry.tables import table, tables
 from shelfwise.functions.text import parse_store_id
 from shelfwise.operators import aggregate, lookup, model
+from shelfwise.plans import features as jobs
 from shelfwise.plans import forecast, training
 from shelfwise.session import scratch_dir, stage
 from shelfwise.sources.tables import latest_snapshot
@@ -171,9 +172,25 @@ TRAINING = {
 }
 
 
-def training_rows(spark, sf):
-    tx = table(spark, sf, "transactions").withColumn("sku", F.trim("sku"))
-    return training.training_set(feature_table(spark, sf), tx)
+USED = ("store_id", "product_id", "sku", "quantity", "discount_pct", "transaction_date")
+
+
+def sources(spark, sf):
+    """(features, transactions): the transactions are derived from the test tables once, for the features and the label."""
+    base = tables(spark, sf, *BASE)
+    base["transactions"] = stage(base["transactions"].select(*USED), "transactions")
+    return jobs.flagship_features(base, extended=True), base["transactions"]
+
+
+def kept_sources(spark, sf):
+    """``sources`` with the feature table staged, for queries that train on it and look features up in it."""
+    daily, tx = sources(spark, sf)
+    return stage(daily, "features"), tx
+
+
+def training_rows(spark, sf, given=None):
+    daily, tx = given or sources(spark, sf)
+    return training.training_set(daily, tx.withColumn("sku", F.trim("sku")))
 
 
 @case("training_set", ("training",), "SELECT store_id, sku, date, lag_1d, rolling_mean_30d, y AS qty FROM training", TRAINING)
@@ -351,11 +368,11 @@ def monthly_forecast(spark, sf):
 SAVED: dict[tuple[str, str, str], str] = {}
 
 
-def fitted(spark, sf, kind="tweedie"):
+def fitted(spark, sf, kind="tweedie", given=None):
     """The model over a folder's whole tables, trained once per session, saved and loaded again."""
     key = (spark.sparkContext.applicationId, sf, kind)
     if key not in SAVED:
-        trained, _ = training.train_demand(training_rows(spark, sf), kind)
+        trained, _ = training.train_demand(training_rows(spark, sf, given), kind)
         path = f"{scratch_dir(spark)}/model-{uuid.uuid4().hex}"
         model.save_model(trained, path)
         SAVED[key] = path
@@ -376,8 +393,9 @@ def train_demand_trees(spark, sf):
 @case("score", ("training",), "SELECT store_id, sku, date, y AS qty, TRUE AS follows_formula FROM training", TRAINING)
 def score(spark, sf):
     """Every prediction is the exponential of the sum of the model's scaled and weighted inputs."""
-    demand = fitted(spark, sf)
-    rows = model.calendar_features(training_rows(spark, sf))
+    given = kept_sources(spark, sf)
+    demand = fitted(spark, sf, given=given)
+    rows = model.calendar_features(training_rows(spark, sf, given))
     scored = model.score(demand, model.encode(rows, demand.encoder).drop("prediction"), encoded=True)
     scaling = {r["feature"]: (r["mean"], r["scale"]) for r in demand.scaler.collect()}
     total = F.lit(float(demand.regression.intercept))
@@ -398,7 +416,8 @@ def score(spark, sf):
     HORIZON,
 )
 def run_forecast(spark, sf):
-    rows = forecast.run_forecast(feature_table(spark, sf), fitted(spark, sf), START)
+    given = kept_sources(spark, sf)
+    rows = forecast.run_forecast(given[0], fitted(spark, sf, given=given), START)
     return rows.withColumn("valid", F.col("predicted_quantity") >= 0).drop("predicted_quantity")
 
 
@@ -426,8 +445,9 @@ INVALID = f"""
 
 def outcomes(spark, sf, defaults=None):
     t = tables(spark, sf, "requests", "products", "stores")
+    given = kept_sources(spark, sf)
     rows = forecast.score_batch(
-        t["requests"], feature_table(spark, sf), t["products"], t["stores"], fitted(spark, sf), defaults
+        t["requests"], given[0], t["products"], t["stores"], fitted(spark, sf, given=given), defaults
     )
     sound = F.when(F.col("status") == "success", F.col("predicted_quantity") >= 0).otherwise(F.col("predicted_quantity") == 0)
     return rows.groupBy("store_id", "sku", "date", "status", "message").agg(F.count(F.lit(1)).alias("n"), F.every(sound).alias("sound"))
@@ -466,7 +486,8 @@ def score_batch_defaults(spark, sf):
 )
 def forecast_requests(spark, sf):
     t = tables(spark, sf, "requests", "products", "stores")
+    given = kept_sources(spark, sf)
     out = forecast.forecast_requests(
-        t["requests"], feature_table(spark, sf), t["products"], t["stores"], fitted(spark, sf)
+        t["requests"], given[0], t["products"], t["stores"], fitted(spark, sf, given=given)
     )
     return out["weekly"].withColumn("valid", F.col("predicted_quantity") >= 0).drop("predicted_quantity")

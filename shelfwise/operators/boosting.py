@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shelfwise.session import stage
 
 POWER = 1.5
-#: Rounds after which the margins are staged, so that neither plans nor sums of trees grow with the rounds.
+#: Rounds after which the margins are staged, so that plans do not grow with the rounds.
 CUT = 10
 #: Margins are logarithms; beyond this they would overflow.
 BOUND = 30.0
@@ -102,24 +102,22 @@ def boost(
     base = _kept(both.withColumn("_margin", F.lit(0.0)).select(*columns))
     grower = DecisionTreeRegressor(labelCol="_target", weightCol="_weight", maxDepth=depth, minInstancesPerNode=20, seed=seed)
     every: list[DecisionTreeRegressionModel] = []
-    since: list[DecisionTreeRegressionModel] = []
     losses: list[float] = []
+    margin = _bounded(start + F.col("_margin"))
     try:
         while len(every) < trees:
-            margin = _bounded(start + F.col("_margin"))
             first, second = F.exp((2 - power) * margin), F.col(label) * F.exp((1 - power) * margin)
             weight = (2 - power) * first - (1 - power) * second
-            rows = _moved(base, since, rate).where("NOT _valid").select("features", ((second - first) / weight).alias("_target"), weight.alias("_weight"))
+            rows = base.where("NOT _valid").select("features", ((second - first) / weight).alias("_target"), weight.alias("_weight"))
             tree = grower.fit(rows)
             every.append(tree)
-            since.append(tree)
-            moved = _moved(base, since, rate)
-            losses.append(mean_loss(moved.where("_valid"), label, margin, power))
+            # A tree reads its rows several times, so its predecessors are not evaluated again each time.
+            moved, old = _moved(base, tree, rate).select(*columns), base
+            base = _kept(moved) if len(every) % CUT == 0 else moved.persist(StorageLevel.MEMORY_AND_DISK)
+            losses.append(mean_loss(base.where("_valid"), label, margin, power))
+            old.unpersist()
             if len(losses) - losses.index(min(losses)) > patience:
                 break
-            if len(since) == CUT:
-                old, base, since = base, _kept(moved.select(*columns)), []
-                old.unpersist()
     finally:
         base.unpersist()
     best = 1 + losses.index(min(losses))
@@ -131,8 +129,6 @@ def _kept(rows: DataFrame) -> DataFrame:
     return stage(rows, "margins").persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _moved(base: DataFrame, trees: Sequence[DecisionTreeRegressionModel], rate: float) -> DataFrame:
-    """``base`` with the trees' sum added to its margin."""
-    if not trees:
-        return base
-    return _ensemble(trees, rate).transform(base).withColumn("_margin", F.col("_margin") + F.col("prediction")).drop("prediction")
+def _moved(base: DataFrame, tree: DecisionTreeRegressionModel, rate: float) -> DataFrame:
+    """``base`` with one more tree added to its margin."""
+    return _ensemble([tree], rate).transform(base).withColumn("_margin", F.col("_margin") + F.col("prediction")).drop("prediction")

@@ -391,3 +391,19 @@ def test_undated_requests_find_what_is_known_of_product_and_store(spark, base, t
     got = lookup.features_for(asked, table, base["products"], base["stores"]).collect()
     assert {r.asked_lag_1d: r.source for r in got} == {1.0: "static", 2.0: "daily", 3.0: "daily", 4.0: "missing", 5.0: "missing"}
     assert len(got) == 5 and {r.feature_date for r in got if r.source == "daily"} == {day}
+
+
+def test_a_boosting_round_evaluates_its_own_tree_only(spark, monkeypatch):
+    """Each pass of a round evaluated all trees since the last staging before."""
+    sizes, ensemble = [], boosting._ensemble
+
+    def spy(trees, rate):
+        sizes.append(len(trees))
+        return ensemble(trees, rate)
+
+    monkeypatch.setattr(boosting, "_ensemble", spy)
+    rows = [(Vectors.dense([float(i % 7), float(i % 3)]), float(i % 7 + i % 3)) for i in range(200)]
+    df = spark.createDataFrame(rows, ["features", "qty"])
+    fit = boosting.boost(df, df, trees=4, rate=0.5, patience=5, depth=2)
+    assert sizes == [1, 1, 1, 1, fit.best]
+    assert boosting.mean_loss(fit.transform(df), "qty", F.log("prediction")) == pytest.approx(min(fit.losses))

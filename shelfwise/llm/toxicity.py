@@ -15,7 +15,7 @@ get is one float per table row: 1 MB, whatever the data.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -109,14 +109,12 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings = Settings())
     if not len(gram):
         return train([], labels, settings)
     n, dim = len(texts), settings.dim
-    count = np.bincount(gram, minlength=1 << BITS)
+    count = _totals(gram, None, 1 << BITS)
     used = np.flatnonzero(count)
-    gram = (np.cumsum(count > 0, dtype=np.int32) - 1)[gram]
-    filled, doc_starts = np.unique(doc, return_index=True)
-    by_gram = np.argsort(gram, kind="stable").astype(np.int32)
-    doc_of, value_of = doc[by_gram], value[by_gram]
-    doc_starts, gram_starts = np.append(doc_starts, len(gram)), np.concatenate(([0], np.cumsum(count[used])))
-    del by_gram, doc, count
+    np.take(np.cumsum(count > 0, dtype=np.int32) - 1, gram, out=gram, mode="clip")
+    # Documents come in order.
+    doc_starts = np.concatenate(([0], np.flatnonzero(doc[1:] != doc[:-1]) + 1, [len(doc)]))
+    filled = doc[doc_starts[:-1]]
     embed, slow = np.zeros((len(used), dim), np.float32), np.zeros((len(used), dim), np.float32)
     soft = rng.normal(0, 1, (dim, 2)).astype(np.float32)
     soft -= soft.mean(1, keepdims=True)
@@ -124,7 +122,7 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings = Settings())
     slow_soft, bias = np.zeros_like(soft), np.zeros(2, np.float32)
     target = np.eye(2, dtype=np.float32)[labels.astype(int)]
     # A row's step follows its curvature, so that a subword of many documents and one of few learn alike.
-    rate = (settings.rate / (np.add.reduceat(value_of**2, gram_starts[:-1]) + settings.ridge)).astype(np.float32)
+    rate = (settings.rate / (_totals(gram, lambda a, b: value[a:b] ** 2, len(used)) + settings.ridge)).astype(np.float32)
     for _ in range(settings.epochs):
         bag = np.zeros((n, dim), np.float32)
         for k in range(dim):
@@ -134,7 +132,7 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings = Settings())
         error = p / p.sum(1, keepdims=True) - target
         back = error @ soft.T
         for k in range(dim):
-            pull = _sums(back[:, k], doc_of, value_of, gram_starts)
+            pull = _totals(gram, lambda a, b: back[doc[a:b], k] * value[a:b], len(used)).astype(np.float32)
             slow[:, k] = 0.9 * slow[:, k] - rate * (pull + 0.02 * settings.ridge * embed[:, k])
         slow_soft = 0.9 * slow_soft - 0.002 * (bag.T @ error) / (n * (np.square(bag).mean() + 1e-6))
         embed += slow
@@ -154,6 +152,15 @@ def _sums(of: np.ndarray, index: np.ndarray, weight: np.ndarray, bounds: np.ndar
     return out
 
 
+def _totals(index: np.ndarray, weights: Callable[[int, int], np.ndarray] | None, size: int) -> np.ndarray:
+    """``np.bincount``, a part at a time: the driver holds neither a sorted copy of the entries nor a wide one."""
+    out = np.zeros(size)
+    for a in range(0, len(index), ENTRIES):
+        b = min(a + ENTRIES, len(index))
+        out += np.bincount(index[a:b], None if weights is None else weights(a, b), size)
+    return out
+
+
 def _weights(texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, table row, share of the document's mean) of the subwords that occur in ``least`` documents or more."""
     docs, grams, values = [np.zeros(0, np.int16)], [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
@@ -169,7 +176,18 @@ def _weights(texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray, np.n
     for k, gram in enumerate(grams):
         kept = common[gram]
         docs[k], grams[k], values[k] = docs[k][kept], gram[kept], values[k][kept]
-    return np.concatenate(docs), np.concatenate(grams), np.concatenate(values)
+    return _joined(docs), _joined(grams), _joined(values)
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    """All parts in one array; each is let go once it is copied, so that they are not held twice."""
+    out, at = np.empty(sum(map(len, parts)), parts[-1].dtype), 0
+    parts.reverse()
+    while parts:
+        part = parts.pop()
+        out[at : at + len(part)] = part
+        at += len(part)
+    return out
 
 
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:

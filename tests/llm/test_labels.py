@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -311,3 +312,21 @@ def test_parts_are_balanced_and_follow_the_graph(parts):
     part = neighbours.balanced_parts(400, a, b, parts)
     assert np.bincount(part, minlength=parts).tolist() == [400 // parts] * parts
     assert np.mean(part[a] == part[b]) > 0.95
+
+
+def test_toxicity_training_holds_its_entries_once(monkeypatch):
+    """A sorted copy of the entries, with its order, was held beside them before."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, k=150)) for _ in range(5000)]
+    entries = len(toxicity._weights(texts, 5)[1])
+    tracemalloc.start()
+    try:
+        toxicity.train(texts, np.arange(len(texts)) % 2, toxicity.Settings(epochs=1))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 21 * entries
+    monkeypatch.setattr(toxicity, "ENTRIES", 7)
+    index, weight = np.array([3, 0, 3, 1] * 5), np.arange(20.0)
+    assert np.allclose(toxicity._totals(index, lambda a, b: weight[a:b], 5), np.bincount(index, weight, 5))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.bits import passes
-from shelfwise.llm.common import byte_view, cuts, fresh, group_starts, keyed, stage, tidy, whole_groups
+from shelfwise.llm.common import byte_view, cuts, fresh, group_starts, keyed, stage, stage_by, tidy, whole_groups
 from shelfwise.llm.shingles import mixed, overlap, shingle_sets
 
 PART = 256
@@ -175,9 +175,9 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(rows: DataFrame, nodes: DataFrame, label: str) -> DataFrame:
-    """(node, tokens) of ``nodes`` (id, node): only documents that the bit table lets through are read again."""
-    found = rows.where(passes(nodes, "id")).mapInArrow(_whole_sets, "node long, tokens binary")
-    return stage(found.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), label)
+    """(node, tokens) of ``nodes`` (id, node), in buckets of the node: only documents that the bit table lets through are read again."""
+    found = rows.where(passes(nodes, "id", bits=NODE_BITS)).mapInArrow(_whole_sets, "node long, tokens binary")
+    return stage_by(found.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), "node", label)
 
 
 def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -422,12 +422,14 @@ def _ask(pairs: DataFrame, there: DataFrame, sets: DataFrame) -> DataFrame:
     """(group, part, asks, node, tokens), sorted: the rows ``there`` (group, node, tokens) and the queries of ``pairs``.
 
     The queries of a group are dealt out in parts of ``QUERIES``; its own rows go to each part.
+    Only groups with more than one part are joined, which are few: the sets move once, to their parts.
     """
-    parts = pairs.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    asking = pairs.join(parts, "group").select("group", part.alias("part"), F.lit(True).alias("asks"), "node").join(sets, "node")
-    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    there = there.join(parts, "group").select("group", each, F.lit(False).alias("asks"), "node", "tokens")
+    many = stage(pairs.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts")).where("parts > 1"), "many")
+    parts = F.coalesce("parts", F.lit(1))
+    part = F.pmod(F.xxhash64("node"), parts).cast("int")
+    asking = pairs.join(many, "group", "left").select("group", part.alias("part"), F.lit(True).alias("asks"), "node").join(sets, "node")
+    each = F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")
+    there = there.join(many, "group", "left").select("group", each, F.lit(False).alias("asks"), "node", "tokens")
     both = there.union(asking.select("group", "part", "asks", "node", "tokens"))
     return both.repartition("group", "part").sortWithinPartitions("group", "part", "asks", "node")
 
@@ -493,7 +495,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     need = met.select("node").union(alone).distinct()
     asked = _sets(rows, stage(nodes.join(need, "node", "left_semi").select("node", "id"), "needed"), "asked")
     single = alone.withColumn("node", F.col("group")).join(asked, "node").select("group", "node", "tokens")
-    there = unions.select("group", F.lit(None).cast("long").alias("node"), "tokens").union(single)
+    there = unions.where(passes(met, "group", bits=NODE_BITS)).select("group", F.lit(None).cast("long").alias("node"), "tokens").union(single)
     run, schema = _bound(percent)
     reached = stage(_ask(met, there, asked).mapInArrow(run, schema), "reached")
     opened = stage(reached.where("NOT linked").select("node", "group"), "opened")
@@ -539,6 +541,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     gone = stage(found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias(name)).distinct(), "gone")
     # Rows that the bit table lets pass stay where they are; only the others are moved.
     known, columns = docs.withColumn(name, F.col(f"`{id_col}`")), [F.col(f"`{c}`") for c in docs.columns]
-    suspect = passes(gone, name)
+    suspect = passes(gone, name, bits=NODE_BITS)
     left = known.where(suspect).join(gone, name, "left_anti")
     return known.where(~suspect).select(*columns).unionByName(left.select(*columns))

@@ -113,6 +113,23 @@ def test_jaccard_opens_a_group_by_its_stored_union():
     assert pairs([(1, False, 1, "a"), (1, True, 7, "fits"), (1, True, 9, "b"), (1, True, 8, "far")]) == [(7, 1, True), (9, 1, True)]
 
 
+def test_jaccard_joins_leave_the_sets_in_place(spark):
+    df = docs(spark, [words(random.Random(k), 60) for k in range(9)], extra=False)
+    rows = df.select(df.doc_id.alias("id"), "text")
+    nodes = rows.mapInArrow(simjoin._whole_sets, "node long, tokens binary").select("node")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sets = simjoin._sets(rows, rows.select("id").crossJoin(nodes), "tokens")
+        joined = sets.join(nodes, "node")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == sets.count() == 9
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Only the narrow side is moved.
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_jaccard_keeps_one_of_a_group(spark):
     texts = awkward_texts()
     df = docs(spark, texts)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import bounded_sample, cuts, keyed, small_batches, tidy
+from shelfwise.llm.common import bounded_sample, cuts, give_back, keyed, small_batches, tidy
 
 BITS = 18
 SIZES = (4, 6)
@@ -106,6 +106,7 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings = Settings())
         return Model(np.zeros(1 << BITS, np.float32), float(np.log(share / (1 - share))))
     rng = np.random.default_rng(settings.seed)
     doc, gram, value = _weights(texts, settings.least)
+    give_back()
     if not len(gram):
         return train([], labels, settings)
     n, dim = len(texts), settings.dim
@@ -197,7 +198,14 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     cut = F.when(length <= settings.chars, F.col("text")).otherwise(F.substr("text", at.cast("int") + 1, F.lit(settings.chars)))
     got = bounded_sample(rows, {0: settings.clean_rows, 1: settings.toxic_rows}, "label", settings.seed, cut).collect()
     got.sort(key=lambda r: (r.id, r.label, r.text))
-    return train([r.text for r in got], np.array([r.label for r in got], dtype=int), settings)
+    texts, labels = [r.text for r in got], np.array([r.label for r in got], dtype=int)
+    del got
+    give_back()
+    try:
+        return train(texts, labels, settings)
+    finally:
+        # The driver goes on to other stages, which should not pay for the trainer's memory.
+        give_back()
 
 
 def score_texts(model: Model):

@@ -330,3 +330,12 @@ def test_toxicity_training_holds_its_entries_once(monkeypatch):
     monkeypatch.setattr(toxicity, "ENTRIES", 7)
     index, weight = np.array([3, 0, 3, 1] * 5), np.arange(20.0)
     assert np.allclose(toxicity._totals(index, lambda a, b: weight[a:b], 5), np.bincount(index, weight, 5))
+
+
+def test_toxicity_training_gives_its_memory_back(spark, monkeypatch):
+    order, train = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda *a: order.append("train") or train(*a))
+    monkeypatch.setattr(toxicity, "give_back", lambda: order.append("give back"))
+    rows = spark.createDataFrame([(i, f"some words and {w}", y) for i, (w, y) in enumerate([("mud", 1), ("sun", 0)] * 6)], "id long, text string, label int")
+    assert toxicity.fit(rows).logits(["mud", "sun"]).shape == (2,)
+    assert "train" in order and order[-1] == "give back"

@@ -238,8 +238,14 @@ def features_for(requests: DataFrame, daily: DataFrame, products: DataFrame, sto
 
     Features are put together per distinct (store, SKU, date); the requests join
     them once, by all three, so wide rows are never shuffled by store and SKU, of
-    which a few may have most of the requests. ``requests`` are read twice.
+    which a few may have most of the requests. ``requests`` are computed once and
+    staged, as the keys and the last join both read them.
     """
+    return fetch_features(stage(requests, "requests"), daily, products, stores)
+
+
+def fetch_features(requests: DataFrame, daily: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
+    """``features_for`` of requests that are staged already."""
     own = ["store_id", "sku", "date"]
     asked = {name: f"asked_{name}" for name in requests.columns if name in REQUIRED_FEATURES}
     requests = requests.withColumnsRenamed(asked)

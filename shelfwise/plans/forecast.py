@@ -91,7 +91,7 @@ def prepared_requests(
     good, bad = clean.by_reasons(checked)
     good = good.withColumnRenamed("store_id", "store_raw").withColumn("date", F.col("_day")).drop("_day")
     good = good.withColumnRenamed("_store", "store_id")
-    found = lookup.apply_overrides(lookup.features_for(good, daily, products, stores))
+    found = lookup.apply_overrides(lookup.fetch_features(good, daily, products, stores))
     if defaults:
         known = F.when(F.col("source") == "missing", "default").otherwise(F.col("source"))
         found = lookup.default_features(found, defaults).withColumn("source", known)

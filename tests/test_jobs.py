@@ -383,6 +383,22 @@ def test_requests_are_staged_narrow_and_once(spark, base, table, monkeypatch):
     assert all("lag_1d" not in columns for frames in kept.values() for columns in frames)
 
 
+def test_requests_are_computed_once_for_their_features(spark, base, table):
+    """The requests were derived a second time for the last join."""
+    parsed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            parsed.add(batch.num_rows)
+            yield batch
+
+    day = table.agg(F.max("date")).first()[0]
+    asked = table.where(F.col("date") == F.lit(day)).select("store_id", "sku", "date")
+    counted = asked.mapInArrow(count, asked.schema)
+    got = lookup.features_for(counted, table, base["products"], base["stores"]).collect()
+    assert {r.source for r in got} == {"daily"} and parsed.value == len(got)
+
+
 def test_undated_requests_find_what_is_known_of_product_and_store(spark, base, table):
     day = table.agg(F.max("date")).first()[0]
     store, sku = table.where(F.col("date") == F.lit(day)).select("store_id", "sku").first()
